@@ -21,7 +21,6 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +39,11 @@ def ranged(df: DataFrame, order_cols: list[str], partitions: int | None = None,
            freeze: bool = True) -> DataFrame:
     """Range-partitioned, locally sorted, and (by default) checkpointed so the
     layout is identical for every later pass and survives executor loss."""
+    # The partition index is stored as data (``_pid``): task ids are not
+    # partition ids once the frame sits under a union.
     out = (df.repartitionByRange(_partitions(df, partitions), *order_cols)
-           .sortWithinPartitions(*order_cols))
+           .sortWithinPartitions(*order_cols)
+           .withColumn("_pid", F.spark_partition_id()))
     if freeze:
         from ..session import checkpoint_dir
         checkpoint_dir(df.sparkSession)
@@ -49,8 +51,9 @@ def ranged(df: DataFrame, order_cols: list[str], partitions: int | None = None,
     return out
 
 
-def _pid() -> int:
-    return TaskContext.get().partitionId()
+def _pids(pdf) -> list:
+    """Partition indexes present in a batch, in order of appearance."""
+    return list(dict.fromkeys(pdf["_pid"].tolist()))
 
 
 # ---------------------------------------------------------------------------
@@ -70,16 +73,15 @@ def grouped_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str],
     tot_schema = "pid int, g string, total long"
 
     def totals(it):
-        pid = _pid()
         acc: dict = {}
         for pdf in it:
-            s = pdf.groupby("_g", sort=False)[value_col].sum()
-            for g, v in s.items():
-                acc[g] = acc.get(g, 0) + int(v)
-        yield pd.DataFrame({"pid": [pid] * len(acc), "g": list(acc.keys()),
+            s = pdf.groupby(["_pid", "_g"], sort=False)[value_col].sum()
+            for (pid, g), v in s.items():
+                acc[(pid, g)] = acc.get((pid, g), 0) + int(v)
+        yield pd.DataFrame({"pid": [k[0] for k in acc], "g": [k[1] for k in acc],
                             "total": list(acc.values())})
 
-    summary = (r.select("_g", value_col).mapInPandas(totals, tot_schema)
+    summary = (r.select("_pid", "_g", value_col).mapInPandas(totals, tot_schema)
                .collect())
     # combine in partition order: offset of group g at partition p
     running: dict = {}
@@ -91,19 +93,21 @@ def grouped_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str],
     schema = T.StructType(r.schema.fields + [T.StructField(out, T.LongType())])
 
     def scan(it):
-        pid = _pid()
         off = bc.value
         carry: dict = {}
         for pdf in it:
             vals = pdf[value_col].fillna(0).astype("int64")
-            local = vals.groupby(pdf["_g"], sort=False).cumsum() - vals
-            base = pdf["_g"].map(lambda g: off.get((pid, g), 0) + carry.get(g, 0))
-            pdf[out] = (local + base).astype("int64")
-            for g, v in vals.groupby(pdf["_g"], sort=False).sum().items():
-                carry[g] = carry.get(g, 0) + int(v)
+            key = pdf["_pid"].astype(str) + "\x1f" + pdf["_g"]
+            local = vals.groupby(key, sort=False).cumsum() - vals
+            base_of = {}
+            for pid, g in pdf[["_pid", "_g"]].drop_duplicates().itertuples(index=False):
+                base_of[f"{pid}\x1f{g}"] = off.get((pid, g), 0) + carry.get((pid, g), 0)
+            pdf[out] = (local + key.map(base_of)).astype("int64")
+            for (pid, g), v in vals.groupby([pdf["_pid"], pdf["_g"]], sort=False).sum().items():
+                carry[(pid, g)] = carry.get((pid, g), 0) + int(v)
             yield pdf
 
-    return r.mapInPandas(scan, schema).drop("_g")
+    return r.mapInPandas(scan, schema).drop("_g", "_pid")
 
 
 def dense_index(df: DataFrame, order_cols: list[str], out: str = "chunk_id",
@@ -264,13 +268,16 @@ def pack_min_chars(rows: DataFrame, min_chars: int | None,
         return k
 
     def summarise(it):
-        pid = _pid()
         frames = list(it)
         if not frames:
             return
-        pdf = pd.concat(frames, ignore_index=True)
-        if len(pdf) == 0:
-            return
+        allrows = pd.concat(frames, ignore_index=True)
+        for pid in _pids(allrows):
+            part = allrows[allrows["_pid"] == pid]
+            if len(part):
+                yield from summarise_one(int(pid), part.reset_index(drop=True))
+
+    def summarise_one(pid, pdf):
         g = gkey(pdf).to_numpy()
         x = pdf["len"].to_numpy(dtype=np.int64)
         cuts = np.flatnonzero(g[1:] != g[:-1]) + 1
@@ -291,7 +298,7 @@ def pack_min_chars(rows: DataFrame, min_chars: int | None,
             "m": m, "Pm": int(P[m]), "fresh_fl": fresh[0], "fresh_fi": fresh[1],
             "last_fl": last[0], "last_fi": last[1]}])
 
-    cols = g + ["len"]
+    cols = ["_pid"] + g + ["len"]
     summary = sorted(r.select(*cols).mapInPandas(summarise, sum_schema).collect(),
                      key=lambda s: s["pid"])
     starts: dict = {}
@@ -310,29 +317,29 @@ def pack_min_chars(rows: DataFrame, min_chars: int | None,
         else:
             cur_g, carry, count = s["last_g"], s["last_fi"], s["last_fl"]
     bc = rows.sparkSession.sparkContext.broadcast(starts)
-    out_schema = T.StructType([f for f in r.schema.fields if f.name != "len"]
+    out_schema = T.StructType([f for f in r.schema.fields if f.name not in ("len", "_pid")]
                               + [T.StructField("chunk_no", T.LongType())])
 
     def assign(it):
-        pid = _pid()
-        c0, b0 = bc.value.get(pid, (0, 0))
-        state, n, prev = c0, b0, None
-        first = True
+        state, n, prev, cur_pid = 0, 0, None, None
         for pdf in it:
             if len(pdf) == 0:
                 continue
             g = gkey(pdf).to_numpy()
+            pids = pdf["_pid"].to_numpy()
             x = pdf["len"].to_numpy(dtype=np.int64)
             res = np.empty(len(pdf), dtype=np.int64)
-            cuts = np.flatnonzero(g[1:] != g[:-1]) + 1
+            cuts = np.flatnonzero((g[1:] != g[:-1]) | (pids[1:] != pids[:-1])) + 1
             bounds = np.concatenate([[0], cuts, [len(g)]])
             for a, b in zip(bounds[:-1], bounds[1:]):
-                if not first and g[a] != prev:
+                if pids[a] != cur_pid:  # a new partition: its carry-in
+                    cur_pid = pids[a]
+                    state, n = bc.value.get(int(cur_pid), (0, 0))
+                elif g[a] != prev:      # a new group inside the partition
                     state, n = 0, 0
-                first = False
                 res[a:b], state, n = _fold_assign(x[a:b], mn, state, n)
                 prev = g[a]
-            pdf = pdf.drop(columns=["len"])
+            pdf = pdf.drop(columns=["len", "_pid"])
             pdf["chunk_no"] = res
             yield pdf[pdf["chunk_no"] >= 0]
 

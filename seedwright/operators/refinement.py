@@ -28,6 +28,14 @@ LINEAGE = ["task", "chunk_id", "source", "original_text", "content_pos", "instr_
 KEY = ["task", "chunk_id"]
 
 
+def _freeze(df: DataFrame) -> DataFrame:
+    """Write to the shared checkpoint folder and read back: cuts lineage, so a
+    later stage never replays earlier model calls, and keeps plans small."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def refine_start(pairs: DataFrame) -> DataFrame:
     """Keep pairs with both fields, add round bookkeeping."""
     return (pairs.filter(~is_missing(F.col("instruction")) & ~is_missing(F.col("answer")))
@@ -39,7 +47,8 @@ def refine_start(pairs: DataFrame) -> DataFrame:
 
 
 def refine_round(cur: DataFrame, completer, round_no: int, min_refinements: int = 1,
-                 goals: list[str] | None = None, mcq_fallback: str = "parity") -> DataFrame:
+                 goals: list[str] | None = None, mcq_fallback: str = "parity",
+                 materialize: bool = True) -> DataFrame:
     goals = goals or GOALS
     counts = (cur.filter(~F.col("done")).groupBy(*KEY).count()
               .filter(F.col("count") >= min_refinements).select(*KEY))
@@ -51,12 +60,16 @@ def refine_round(cur: DataFrame, completer, round_no: int, min_refinements: int
                                                    F.col("goal"))))
     srep = completer.complete(sreq, "s_sys", "s_user", "suggestions", wave=f"suggest_r{round_no}")
     sok = srep.filter(~is_missing(F.col("suggestions"))).drop("s_sys", "s_user")
+    if materialize:  # each wave is a written table: no replay, small plans
+        sok = _freeze(sok)
     ereq = (sok.withColumn("e_sys", F.lit(EDITOR_SYSTEM))
             .withColumn("e_user", editor_prompt(F.col("instruction"), F.col("answer"),
                                                 F.col("suggestions"))))
     erep = completer.complete(ereq, "e_sys", "e_user", "modified", wave=f"edit_r{round_no}")
-    parsed = (erep.filter(~is_missing(F.col("modified")))
-              .withColumn("_m", modified_pair(F.col("modified"), mcq_fallback)))
+    erep = erep.filter(~is_missing(F.col("modified"))).drop("e_sys", "e_user", "suggestions")
+    if materialize:
+        erep = _freeze(erep)
+    parsed = erep.withColumn("_m", modified_pair(F.col("modified"), mcq_fallback))
     new = (parsed.filter(F.col("_m").isNotNull()
                          & ~is_missing(F.col("_m.instruction")) & ~is_missing(F.col("_m.answer")))
            .select("task", "chunk_id", "source", "original_text", "content_pos", "instr_pos",
@@ -78,13 +91,15 @@ def refine_round(cur: DataFrame, completer, round_no: int, min_refinements: int
 
 def refine(pairs: DataFrame, completer, max_rounds: int = 1, min_refinements: int = 1,
            goals: list[str] | None = None, mcq_fallback: str = "parity",
-           materialize: bool = False) -> DataFrame:
-    """``refine_instructions``: up to ``max_rounds`` rounds per chunk."""
+           materialize: bool = True) -> DataFrame:
+    """``refine_instructions``: up to ``max_rounds`` rounds per chunk.  With
+    ``materialize`` the input pairs and every round are checkpointed."""
     cur = refine_start(pairs)
+    if materialize:
+        cur = _freeze(cur)
     for r in range(1, max_rounds + 1):
-        cur = refine_round(cur, completer, r, min_refinements, goals, mcq_fallback)
+        cur = refine_round(cur, completer, r, min_refinements, goals, mcq_fallback,
+                           materialize)
         if materialize:
-            from ..session import checkpoint_dir
-            checkpoint_dir(cur.sparkSession)
-            cur = cur.checkpoint(eager=True)
+            cur = _freeze(cur)
     return cur

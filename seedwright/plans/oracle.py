@@ -170,6 +170,7 @@ def refine_round_sql(cur: str, round_no: int, min_refinements: int = 1) -> str:
            f"FROM ({parsed}) WHERE ok AND NOT {sql_is_missing('new_instruction')} "
            f"AND NOT {sql_is_missing('new_answer')}")
     keep_old = (f"SELECT {LINEAGE.replace(', done', '')}, true AS done FROM ({cur}) v "
-                f"WHERE NOT EXISTS (SELECT 1 FROM ({new}) n WHERE n.task = v.task "
+                f"WHERE NOT EXISTS (SELECT 1 FROM new_r n WHERE n.task = v.task "
                 f"AND n.chunk_id = v.chunk_id)")
-    return f"SELECT {LINEAGE} FROM ({new}) UNION ALL SELECT {LINEAGE} FROM ({keep_old})"
+    return (f"WITH new_r AS MATERIALIZED ({new}) "
+            f"SELECT {LINEAGE} FROM new_r UNION ALL SELECT {LINEAGE} FROM ({keep_old})")

@@ -42,11 +42,11 @@ def flagship() -> str:
 
 
 def refined(rounds: int = 1, min_ref: int = 1) -> str:
-    cur = Q.refine_start_sql(flagship())
+    ctes = [f"c0 AS MATERIALIZED ({Q.refine_start_sql(flagship())})"]
     for r in range(1, rounds + 1):
-        cur = Q.refine_round_sql(cur, r, min_ref)
-    return (f"SELECT * REPLACE (CAST(goal_no AS BIGINT) AS goal_no, CAST(round AS BIGINT) AS round) "
-            f"FROM ({cur})")
+        ctes.append(f"c{r} AS MATERIALIZED ({Q.refine_round_sql(f'SELECT * FROM c{r - 1}', r, min_ref)})")
+    return (f"WITH {', '.join(ctes)} SELECT * REPLACE (CAST(goal_no AS BIGINT) AS goal_no, "
+            f"CAST(round AS BIGINT) AS round) FROM c{rounds}")
 
 
 def output_records(include_content: bool = False) -> str:
