@@ -104,14 +104,15 @@ def sql_normalise_modified(e: str) -> str:
     return sql_strip(f"regexp_replace({t}, '\\n+', chr(10), 'g')")
 
 
-def modified_pair(reply: Column, mcq_fallback: str = "parity") -> Column:
+def modified_pair(reply: Column, mcq_fallback: str = "parity",
+                  normalised: Column | None = None) -> Column:
     """Editor reply -> struct(instruction, answer) or null.
 
     ``mcq_fallback``: ``parity`` (reference: lazy choices, answer = choices),
     ``full`` (all choice lines, answer left null so the row is dropped) or
     ``off``.
     """
-    t = normalise_modified(reply)
+    t = normalise_modified(reply) if normalised is None else normalised
     ins = py_strip(F.regexp_extract(t, MOD_INSTR_RE, 1))
     ans = py_strip(F.regexp_extract(t, MOD_ANSWER_RE, 1))
     primary_ok = (t.contains("Modified Instruction:") & t.contains("Modified Answer:")

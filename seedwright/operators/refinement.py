@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import modified_pair
+from ..functions.parse import modified_pair, normalise_modified
 from ..functions.prompts import (EDITOR_SYSTEM, GOALS, SUGGESTER_SYSTEM, editor_prompt,
                                  suggester_prompt)
 from ..functions.text import is_missing
@@ -69,7 +69,10 @@ def refine_round(cur: DataFrame, completer, round_no: int, min_refinements: int
     erep = erep.filter(~is_missing(F.col("modified"))).drop("e_sys", "e_user", "suggestions")
     if materialize:
         erep = _freeze(erep)
-    parsed = erep.withColumn("_m", modified_pair(F.col("modified"), mcq_fallback))
+    # normalised reply once, as its own column; the parser reads it many times
+    parsed = (erep.withColumn("_t", normalise_modified(F.col("modified")))
+              .withColumn("_m", modified_pair(F.col("modified"), mcq_fallback, F.col("_t")))
+              .drop("_t"))
     new = (parsed.filter(F.col("_m").isNotNull()
                          & ~is_missing(F.col("_m.instruction")) & ~is_missing(F.col("_m.answer")))
            .select("task", "chunk_id", "source", "original_text", "content_pos", "instr_pos",
