@@ -31,6 +31,8 @@ def start_seed_stream(spark: SparkSession, seed_dir: str, schema: str, catalog:
               .parquet(seed_dir))
 
     def run_batch(batch: DataFrame, epoch: int) -> None:
+        from ..session import checkpoint_dir
+        checkpoint_dir(batch.sparkSession)
         chunks = batch.select(F.lit(task).alias("task"),
                               F.col(order_col).cast("long").alias("chunk_id"),
                               F.lit(source_id).alias("source"),
