@@ -86,6 +86,8 @@ def refine_round(cur: DataFrame, completer, round_no: int, min_refinements: int
                                   F.col("goal_no").cast("string"))).alias("pair_id"),
                    "goal_no", F.lit(round_no).alias("round"),
                    F.col("pair_id").alias("parent_pair_id"), F.lit(False).alias("done")))
+    if materialize:  # parsed once; read by the union and the fallback join
+        new = _freeze(new)
     refined_chunks = new.select(*KEY).distinct()
     keep_old = (cur.join(refined_chunks, KEY, "left_anti")
                 .withColumn("done", F.lit(True)).select(*LINEAGE))
