@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from seedwright.llm.common import local_path, saved, scratch, table, text_slices
 from seedwright.llm.segments import tokenizer
 
-BLOCK_IDS = 4096
+BLOCK_IDS = 1024
 MAGIC = b"S8BSHARD"
 VERSION = 1
 #: (ids, bits) by selector, then the escape.
@@ -40,7 +40,7 @@ SELECTORS = ((120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8,
              (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
 #: Blocks coded in one numpy pass.
-PASS_BLOCKS = 128
+PASS_BLOCKS = 1024
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
 
