@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seedwright.llm.minmax_dedup import op2_minmax_dedup
 from seedwright.llm.token_files import op1_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_minmax_dedup": op2_minmax_dedup,
 }
 
 ORACLE: dict[str, str] = {}

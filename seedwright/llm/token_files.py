@@ -309,7 +309,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     total is over one row per file."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    return (placed.repartition(F.col("shard")).select("shard", "path", "base")
+    files = max(1, manifest.count())  # a number given here is not coalesced: a file, a task
+    return (placed.select("shard", "path", "base").repartitionByRange(files, "shard")
             .mapInArrow(_read_shard, "doc_id long, start long, n_tokens long, ids_crc32 long, shard long"))
 
 
