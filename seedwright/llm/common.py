@@ -64,15 +64,17 @@ def bitmap(keys: DataFrame, key: str) -> DataFrame:
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(_h % 64 as int))")).alias("_bits")))
 
 
-def maybe_in(df: DataFrame, key: str, bits: DataFrame, inside: bool = True) -> DataFrame:
+def maybe_in(df: DataFrame, key: str, bits: DataFrame, inside: bool = True,
+             always: str = "false") -> DataFrame:
     """Rows of ``df`` whose key may be in ``bits`` (every key that is, and some
-    others), or the rest.  The broadcast side has ``BITMAP_WORDS`` rows at most."""
+    others), or the rest; rows for which ``always`` holds stay as well.  The
+    broadcast side has ``BITMAP_WORDS`` rows at most."""
     cols = df.columns
     df = df.withColumn("_h", F.pmod(F.xxhash64(F.col(key)), F.lit(BITMAP_WORDS * 64)))
     found = F.expr("_bits is not null and (shiftright(_bits, cast(_h % 64 as int)) & 1L) = 1L")
     return (df.withColumn("_word", F.shiftright("_h", 6))
             .join(F.broadcast(bits), "_word", "left")
-            .filter(found if inside else ~found).select(*cols))
+            .filter((found if inside else ~found) | F.expr(always)).select(*cols))
 
 
 # ------------------------------------------------------------------- text data
