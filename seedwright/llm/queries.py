@@ -11,6 +11,7 @@ from seedwright.llm.cgk_decontam import op9_cgk_decontam
 from seedwright.llm.hilbert_pack import op7_hilbert_pack
 from seedwright.llm.license_digest import op10_license_digest, op10_sql
 from seedwright.llm.minmax_dedup import op2_minmax_dedup
+from seedwright.llm.ordinal_quality import op5_ordinal_quality
 from seedwright.llm.pii_spans import op4_pii_spans
 from seedwright.llm.quality_rules import op6_quality_rules, op6_sql
 from seedwright.llm.token_files import op1_token_files
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minmax_dedup": op2_minmax_dedup,
     "op3_toxic_lexicon": op3_toxic_lexicon,
     "op4_pii_spans": op4_pii_spans,
+    "op5_ordinal_quality": op5_ordinal_quality,
     "op6_quality_rules": op6_quality_rules,
     "op7_hilbert_pack": op7_hilbert_pack,
     "op8_anchor_dedup": op8_anchor_dedup,
@@ -30,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op4_pii_spans": op4_pii_spans,
+    "op5_ordinal_quality": op5_ordinal_quality,
     "op6_quality_rules": op6_sql(),
     "op10_license_digest": op10_sql(),
 }
