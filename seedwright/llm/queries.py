@@ -31,8 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
-    "op4_pii_spans": op4_pii_spans,
-    "op5_ordinal_quality": op5_ordinal_quality,
     "op6_quality_rules": op6_sql(),
     "op10_license_digest": op10_sql(),
 }
