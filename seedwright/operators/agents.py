@@ -1,7 +1,6 @@
 """Per-chunk agent sampling (G1, G2, I1) without a shuffle.
 
-Each task's usable agents become one small array (broadcast join on
-``task``).  Per chunk row, the array is ordered by
+Each task's usable agents become one small array, joined on ``task``.  Per chunk row, the array is ordered by
 ``md5(seed|task|chunk_id|salt|name)`` and the first ``k`` kept: a uniform
 draw without replacement that is the same on every rerun and every retried
 task.  Debug mode keeps the first agent of the file.
@@ -33,7 +32,7 @@ def sample_agents(chunks: DataFrame, catalog: Catalog, stage: str, k: int = 3,
     """Adds ``out``: array<struct<agent_pos,name,system_prompt,template>> with
     min(k, n) agents in draw order.  Chunks need ``task`` and ``chunk_id``."""
     arrays = agent_arrays(catalog, stage)  # <= number of tasks rows
-    joined = chunks.join(F.broadcast(arrays), "task")
+    joined = chunks.join(arrays, "task")
     if debug:
         ordered = F.array_sort(F.col("_agents"))  # agent_pos first -> file order
         pick = F.slice(ordered, 1, 1)

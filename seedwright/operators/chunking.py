@@ -1,32 +1,28 @@
 """Chunking: one chunk per sample, greedy minimum-length packing, fixed-size
 slices, and the dense global chunk index.
 
-All three ordered operators share one pattern that never sends a whole
-source (or the whole corpus) to one task:
-
-1. range-partition the rows by their order key and sort inside partitions;
-   freeze that layout with ``checkpoint()`` (shared folder) so both passes see
-   the same partitions;
-2. pass 1 - per partition, a small summary (row count, per-group totals or
-   the packing carry table);
-3. combine the summaries in partition order on the driver (one row per
-   partition, not per data row) and broadcast the resulting offsets;
-4. pass 2 - per partition, finish the local scan from its offset.
+Ordered operators work on keys and lengths only; texts never leave the JVM and
+are joined back by key.  No step sends a whole source to one task:
+
+1. range-partition the keys by their order and write them with the partition's
+   index, so both passes see the same layout;
+2. a small summary of each partition (group totals, or the packing tables of its
+   first segment);
+3. combine the summaries in partition order;
+4. finish each partition from its offset.
 """
 
 from __future__ import annotations
 
 import bisect
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows per range partition to aim for when the caller gives no count.
-DEFAULT_ROWS_PER_PARTITION = 200_000
+from ..session import written
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -35,20 +31,11 @@ def _partitions(df: DataFrame, n: int | None) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
-def ranged(df: DataFrame, order_cols: list[str], partitions: int | None = None,
-           freeze: bool = True) -> DataFrame:
-    """Range-partitioned, locally sorted, and (by default) checkpointed so the
-    layout is identical for every later pass and survives executor loss."""
-    # The partition index is stored as data (``_pid``): task ids are not
-    # partition ids once the frame sits under a union.
-    out = (df.repartitionByRange(_partitions(df, partitions), *order_cols)
-           .sortWithinPartitions(*order_cols)
-           .withColumn("_pid", F.spark_partition_id()))
-    if freeze:
-        from ..session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        out = out.checkpoint(eager=True)
-    return out
+def ranged(keys: DataFrame, order_cols: list[str], partitions: int | None = None) -> DataFrame:
+    """Range-partitioned and written with the partition index as data
+    (``_pid``), so every later pass sees one layout."""
+    n = _partitions(keys, partitions)
+    return written(keys.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()), "ranged")
 
 
 def _pids(pdf) -> list:
@@ -56,6 +43,15 @@ def _pids(pdf) -> list:
     return list(dict.fromkeys(pdf["_pid"].tolist()))
 
 
+def join_back(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with nulls equal; the keys come from the left."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & left[c].eqNullSafe(r[f"_r_{c}"])
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in keys])
+
+
 # ---------------------------------------------------------------------------
 # Grouped exclusive prefix sums (C5 dense index, C3 slice starts)
 # ---------------------------------------------------------------------------
@@ -65,49 +61,18 @@ def grouped_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str],
     """Adds ``out`` = sum of ``value_col`` over earlier rows of the same group
     in ``order_cols`` order.  ``order_cols`` must start with ``group_cols``
     and be unique per row."""
-    r = ranged(df, order_cols, partitions)
-    gkey = F.to_json(F.array(*[F.col(c).cast("string") for c in group_cols])) \
-        if group_cols else F.lit("")
-    r = r.withColumn("_g", gkey)
-    # pass 1: per (partition, group) totals - at most partitions + groups rows
-    tot_schema = "pid int, g string, total long"
-
-    def totals(it):
-        acc: dict = {}
-        for pdf in it:
-            s = pdf.groupby(["_pid", "_g"], sort=False)[value_col].sum()
-            for (pid, g), v in s.items():
-                acc[(pid, g)] = acc.get((pid, g), 0) + int(v)
-        yield pd.DataFrame({"pid": [k[0] for k in acc], "g": [k[1] for k in acc],
-                            "total": list(acc.values())})
-
-    summary = (r.select("_pid", "_g", value_col).mapInPandas(totals, tot_schema)
-               .collect())
-    # combine in partition order: offset of group g at partition p
-    running: dict = {}
-    offsets: dict = {}
-    for row in sorted(summary, key=lambda x: x["pid"]):
-        offsets[(row["pid"], row["g"])] = running.get(row["g"], 0)
-        running[row["g"]] = running.get(row["g"], 0) + row["total"]
-    bc = df.sparkSession.sparkContext.broadcast(offsets)
-    schema = T.StructType(r.schema.fields + [T.StructField(out, T.LongType())])
-
-    def scan(it):
-        off = bc.value
-        carry: dict = {}
-        for pdf in it:
-            vals = pdf[value_col].fillna(0).astype("int64")
-            key = pdf["_pid"].astype(str) + "\x1f" + pdf["_g"]
-            local = vals.groupby(key, sort=False).cumsum() - vals
-            base_of = {}
-            for pid, g in pdf[["_pid", "_g"]].drop_duplicates().itertuples(index=False):
-                base_of[f"{pid}\x1f{g}"] = off.get((pid, g), 0) + carry.get((pid, g), 0)
-            pdf[out] = (local + key.map(base_of)).astype("int64")
-            for (pid, g), v in vals.groupby([pdf["_pid"], pdf["_g"]], sort=False).sum().items():
-                carry[(pid, g)] = carry.get((pid, g), 0) + int(v)
-            yield pdf
-
-    return r.mapInPandas(scan, schema).drop("_g", "_pid")
+    r = ranged(df.select(*order_cols, F.coalesce(F.col(value_col), F.lit(0)).cast("long").alias("_v")),
+               order_cols, partitions)
+    inside = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    local = r.withColumn("_before", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
+    # one row per partition and group: at most partitions + groups
+    totals = r.groupBy("_pid", *group_cols).agg(F.sum("_v").alias("_t"))
+    earlier = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_base", F.coalesce(F.sum("_t").over(earlier), F.lit(0))).drop("_t")
+    placed = join_back(local, offsets, ["_pid", *group_cols]) \
+        .select(*order_cols, (F.col("_before") + F.col("_base")).alias(out))
+    return join_back(df, placed, order_cols)
 
 
 def dense_index(df: DataFrame, order_cols: list[str], out: str = "chunk_id",
@@ -118,16 +83,6 @@ def dense_index(df: DataFrame, order_cols: list[str], out: str = "chunk_id",
                            "_one", out, partitions).drop("_one"))
 
 
-# ---------------------------------------------------------------------------
-# C1 sample as chunk
-# ---------------------------------------------------------------------------
-
-def sample_chunks(rows: DataFrame) -> DataFrame:
-    """Each row's text is one chunk; keeps the order key."""
-    return rows.select("source", "source_ord", "split", "split_ord", "ord",
-                       F.col("text"))
-
-
 # ---------------------------------------------------------------------------
 # C3 fixed-size slices across documents
 # ---------------------------------------------------------------------------
@@ -143,22 +98,20 @@ def fixed_slices(rows: DataFrame, size: int = 1000, partitions: int | None = Non
     group columns (+ source/split labels), chunk_no, text."""
     g = group_cols or ["source_ord", "split_ord"]
     labels = _labels(rows, g)
-    rows = rows.filter(F.col("text").isNotNull())
-    last = rows.groupBy(*g).agg(F.max("ord").alias("_last"))  # one row per group (bounded)
-    pieces = (rows.join(F.broadcast(last), g)
-              .withColumn("piece", F.when(F.col("ord") == F.col("_last"), F.col("text"))
-                          .otherwise(F.concat(F.col("text"), F.lit(" "))))
-              .withColumn("plen", F.length("piece").cast("long"))
-              .drop("_last"))
-    pieces = grouped_prefix(pieces, g, g + ["ord"], "plen", "start", partitions)
-    s, ln = F.col("start"), F.col("plen")
-    parts = (pieces.filter(ln > 0)
-             .withColumn("k", F.explode(F.sequence(F.floor(s / size).cast("long"),
-                                                   F.floor((s + ln - 1) / size).cast("long"))))
-             .withColumn("lo", F.greatest(s, F.col("k") * size))
-             .withColumn("hi", F.least(s + ln, (F.col("k") + 1) * size))
-             .withColumn("part", F.expr("substring(piece, cast(lo - start + 1 as int), cast(hi - lo as int))")))
-    return (parts.groupBy(*g, *labels, F.col("k").alias("chunk_no"))
+    rows = rows.filter(F.col("text").isNotNull()).withColumn("plen", (F.length("text") + 1).cast("long"))
+    total = rows.groupBy(*g).agg((F.sum("plen") - 1).alias("_total"))
+    pieces = join_back(grouped_prefix(rows, g, [*g, "ord"], "plen", "start", partitions), total, g)
+    # each text with the blank after it, but for the group's last one
+    piece = F.when(F.col("start") + F.col("plen") > F.col("_total"), F.col("text")) \
+        .otherwise(F.concat(F.col("text"), F.lit(" ")))
+    first = (F.lit(size) - F.col("start") % size).cast("int")  # up to the next cut
+    cuts = F.concat(F.array(F.left(piece, first)),
+                    F.regexp_extract_all(F.substring(piece, first + 1, F.length(piece)),
+                                         F.lit(f"(?s).{{1,{size}}}"), F.lit(0)))
+    parts = pieces.select(*g, *labels, "start", F.posexplode(cuts).alias("_i", "part")).filter("part <> ''")
+    k = (F.floor(F.col("start") / size) + F.col("_i")).cast("long")
+    return (parts.withColumn("lo", F.greatest("start", k * size))
+            .groupBy(*g, *labels, k.alias("chunk_no"))
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("lo", "part"))),
                                           lambda x: x["part"]), "").alias("text")))
 
@@ -223,21 +176,32 @@ def _apply_carry(tab: dict, c: int, mn: int) -> tuple[int, int]:
 
 
 def _fold_assign(x: np.ndarray, mn: int, c: int, n: int):
-    """Chunk number per row (-1 for a leading empty that vanishes)."""
-    out = np.empty(len(x), dtype=np.int64)
-    state = c
-    for i, v in enumerate(x):
-        v = int(v)
-        if state >= mn:
-            n += 1
-            state = v
-            out[i] = n if v > 0 else -1
-        elif state == 0:
-            state = v
-            out[i] = n if v > 0 else -1
-        else:
-            state += 1 + v
-            out[i] = n
+    """Chunk number per row (-1 for a leading empty that vanishes), going from
+    emit to emit."""
+    m = len(x)
+    out = np.empty(m, dtype=np.int64)
+    P = np.zeros(m + 1, dtype=np.int64)
+    np.cumsum(1 + x, out=P[1:])
+    full = np.flatnonzero(x > 0)
+    at, state = 0, c
+    while at < m:
+        if state == 0:  # a fresh start: empties vanish
+            j = int(np.searchsorted(full, at))
+            stop = int(full[j]) if j < len(full) else m
+            out[at:stop] = -1
+            if stop == m:
+                return out, 0, n
+            out[stop], state, at = n, int(x[stop]), stop + 1
+            continue
+        # the first row that finds at least ``mn`` in hand
+        t = max(at, int(np.searchsorted(P[:m], P[at] + mn - state, side="left")))
+        out[at:t] = n
+        if t >= m:
+            return out, int(state + P[m] - P[at]), n
+        n += 1
+        state = int(x[t])
+        out[t] = n if state else -1
+        at = t + 1
     return out, state, n
 
 
@@ -255,7 +219,7 @@ def pack_min_chars(rows: DataFrame, min_chars: int | None,
         return dense_within(rows, g)
     mn = int(min_chars)
     order = g + ["ord"]
-    r = ranged(rows.withColumn("len", F.length("text").cast("long")), order, partitions)
+    r = ranged(rows.select(*order, F.length("text").cast("long").alias("len")), order, partitions)
     # pass 1: carry tables for the first segment of each partition
     sum_schema = ("pid int, first_g string, last_g string, single boolean, "
                   "P array<long>, fl array<long>, fi array<long>, m long, Pm long, "
@@ -267,17 +231,9 @@ def pack_min_chars(rows: DataFrame, min_chars: int | None,
             k = k + "\x1f" + pdf[c].astype(str)
         return k
 
-    def summarise(it):
-        frames = list(it)
-        if not frames:
-            return
-        allrows = pd.concat(frames, ignore_index=True)
-        for pid in _pids(allrows):
-            part = allrows[allrows["_pid"] == pid]
-            if len(part):
-                yield from summarise_one(int(pid), part.reset_index(drop=True))
-
-    def summarise_one(pid, pdf):
+    def summarise(key, pdf):
+        pid = int(key[0])
+        pdf = pdf.sort_values(order, kind="stable", na_position="first")
         g = gkey(pdf).to_numpy()
         x = pdf["len"].to_numpy(dtype=np.int64)
         cuts = np.flatnonzero(g[1:] != g[:-1]) + 1
@@ -292,14 +248,15 @@ def pack_min_chars(rows: DataFrame, min_chars: int | None,
             last = (0, 0)
         else:
             _, _, _, last = _segment_tables(x[starts[-1]:ends[-1]], mn)
-        yield pd.DataFrame([{
+        return pd.DataFrame([{
             "pid": pid, "first_g": g[0], "last_g": g[-1], "single": single,
             "P": P[:K + 1].tolist(), "fl": rfl[:K + 1].tolist(), "fi": rfi[:K + 1].tolist(),
             "m": m, "Pm": int(P[m]), "fresh_fl": fresh[0], "fresh_fi": fresh[1],
             "last_fl": last[0], "last_fi": last[1]}])
 
     cols = ["_pid"] + g + ["len"]
-    summary = sorted(r.select(*cols).mapInPandas(summarise, sum_schema).collect(),
+    # lengths and keys of one range partition at a time
+    summary = sorted(r.select(*cols, "ord").groupBy("_pid").applyInPandas(summarise, sum_schema).collect(),
                      key=lambda s: s["pid"])
     starts: dict = {}
     cur_g, carry, count = None, 0, 0
@@ -343,7 +300,9 @@ def pack_min_chars(rows: DataFrame, min_chars: int | None,
             pdf["chunk_no"] = res
             yield pdf[pdf["chunk_no"] >= 0]
 
-    assigned = r.mapInPandas(assign, out_schema)
+    # a partition's rows together and in order, whatever files they were read from
+    placed = r.repartition(_partitions(rows, partitions), "_pid").sortWithinPartitions("_pid", *order)
+    assigned = join_back(rows, placed.mapInPandas(assign, out_schema), order)
     return (assigned.groupBy(*keys, "chunk_no")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))),
                                           lambda e: e["text"]), " ").alias("text")))
@@ -357,12 +316,14 @@ def dense_within(rows: DataFrame, group_cols: list[str] | None = None) -> DataFr
             .select(*g, *_labels(rows, g), "chunk_no", "text"))
 
 
-def index_chunks(chunks: DataFrame, order_cols: list[str] | None = None,
-                 partitions: int | None = None) -> DataFrame:
-    """Dense ``chunk_id`` over all sources and splits in order."""
-    order = order_cols or ["source_ord", "split_ord", "chunk_no"]
-    return dense_index(chunks, order, "chunk_id", partitions)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def pack_sources(rows: DataFrame, default_min: int | None = None, partitions: int | None = None) -> DataFrame:
+    """C2 over tagged rows whose specs carry their own ``min_chars``: each source
+    with its minimum, or the default.  One pass per distinct minimum."""
+    keys = ["source_ord", "split_ord", "source", "split"]
+    rows = rows.withColumn("min_chars", F.coalesce("min_chars", F.lit(default_min).cast("int"))).filter("text is not null")
+    out = None
+    for (mn,) in rows.select("min_chars").distinct().orderBy("min_chars").collect():
+        part = rows.filter(F.col("min_chars").eqNullSafe(F.lit(mn))).drop("min_chars")
+        packed = pack_min_chars(part, mn, partitions).select(*keys, "chunk_no", "text")
+        out = packed if out is None else out.unionByName(packed)
+    return rows.select(*keys, F.lit(0).cast("long").alias("chunk_no"), "text").limit(0) if out is None else out

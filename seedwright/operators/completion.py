@@ -7,11 +7,11 @@ A stage hands its requests to a *completer* and gets a reply column back:
   the deterministic one used by tests, the SQL oracle and the benchmark.
 * ``BatchCompleter`` - the user's own model client as a pandas function.
   Requests are de-duplicated by ``request_id = md5(model, system, user)``,
-  the ones without an answer in the response store are spread over
-  ``partitions`` tasks and sent through ``mapInPandas``; replies are appended
-  to a parquet store under the shared checkpoint folder and read back.  A
-  lost executor or a rerun never calls the model twice for an answered
-  request, and retries are rounds over the still-unanswered remainder.
+  the ones without an answer in the response store are spread over as many
+  tasks as their number asks for and sent through ``mapInPandas``; replies are
+  appended to the store that the user names and read back.  A rerun with that
+  store never calls the model twice for an answered request, and retries are
+  rounds over the still-unanswered remainder.
 """
 
 from __future__ import annotations
@@ -20,12 +20,13 @@ import time
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prompts import EDITOR_MARKER, INSTRUCTION_MARKER, SUGGESTER_MARKER
-from ..functions.text import sql_str
-from ..session import checkpoint_dir
+from ..functions.text import py_strip, sql_str, sql_strip
+from ..session import written
 
 
 def request_id(model: str, system: Column, user: Column) -> Column:
@@ -103,25 +104,13 @@ def _reply_spec():
     }
 
 
-def _spark_parts(parts, h: Column, user: Column) -> Column:
-    cols = []
-    for p in parts:
-        if isinstance(p, tuple):
-            cols.append(F.substring(h, p[0], p[1]))
-        elif p == "PROMPT":
-            cols.append(F.substring(user, 1, 160))
-        else:
-            cols.append(F.lit(p))
-    return F.concat(*cols)
-
-
 def _sql_parts(parts, h: str, user: str) -> str:
     out = []
     for p in parts:
         if isinstance(p, tuple):
             out.append(f"substr({h}, {p[0]}, {p[1]})")
         elif p == "PROMPT":
-            out.append(f"substr({user}, 1, 160)")
+            out.append(user)
         else:
             out.append(sql_str(p))
     return "(" + " || ".join(out) + ")"
@@ -179,14 +168,10 @@ def offline_reply(system: Column, user: Column, h: Column | None = None,
                      F.try_element_at(m, F.concat(kind, F.lit("*"))))
     out = tpl
     for t in tokens:
-        val = F.substring(user, 1, 160) if t == "PROMPT" else F.substring(h, t[0], t[1])
+        # the prompt comes last, so nothing inside it is taken for a token
+        val = user if t == "PROMPT" else F.substring(h, t[0], t[1])
         out = F.replace(out, F.lit(_token(t)), val)
-    return F.nullif(out, F.lit(_NULL))
-
-
-def sql_offline_reply(system: str, user: str) -> str:
-    h = f"md5(concat_ws(chr(1), {system}, {user}))"
-    return sql_offline_reply_h(h, user)
+    return py_strip(F.nullif(out, F.lit(_NULL)))
 
 
 def sql_offline_reply_h(h: str, user: str) -> str:
@@ -203,7 +188,7 @@ def sql_offline_reply_h(h: str, user: str) -> str:
                 ds = ", ".join(f"'{c}'" for c in digits)
                 inner.append(f"WHEN {d} IN ({ds}) THEN {val}")
         whens.append(f"WHEN {_kind_sql(user)} = '{k}' THEN (CASE {' '.join(inner)} ELSE {default} END)")
-    return f"(CASE {' '.join(whens)} ELSE NULL END)"
+    return sql_strip(f"(CASE {' '.join(whens)} ELSE NULL END)")
 
 
 class OfflineCompleter(ColumnCompleter):
@@ -212,8 +197,8 @@ class OfflineCompleter(ColumnCompleter):
 
     def complete(self, df: DataFrame, system: str, user: str, out: str,
                  wave: str = "wave") -> DataFrame:
-        # hash and kind once per row, as their own columns (not inlined back:
-        # the optimizer keeps non-cheap expressions that are used many times)
+        # hash and kind as columns of their own; callers write the wave before
+        # they filter or parse it, so neither is inlined into later steps
         s, u = F.col(system), F.col(user)
         return (df.withColumn("_oh", F.md5(F.concat_ws("\u0001", s, u)))
                 .withColumn("_ok", _kind_spark(u))
@@ -226,78 +211,93 @@ class OfflineCompleter(ColumnCompleter):
 # ---------------------------------------------------------------------------
 
 _REPLY_SCHEMA = "request_id string, content string, error string, attempt int"
+#: Requests per task of a wave.
+REQUESTS_PER_TASK = 512
+
+
+def _answers(fn, pdf: pd.DataFrame) -> tuple[list, list]:
+    """(replies, errors) of a batch; if it raises, of each row by itself."""
+    try:
+        got = list(fn(pdf))
+        if len(got) != len(pdf):
+            raise ValueError(f"{len(got)} replies for {len(pdf)} requests")
+        return got, [None] * len(pdf)
+    except Exception as e:  # noqa: BLE001 - recorded per row
+        if len(pdf) == 1:
+            return [None], [repr(e)]
+        out = [_answers(fn, pdf.iloc[i:i + 1].reset_index(drop=True)) for i in range(len(pdf))]
+        return [r for x, _ in out for r in x], [r for _, x in out for r in x]
 
 
 class BatchCompleter:
     """``fn(pdf[system_prompt, user_prompt]) -> Series[str | None]``.
 
-    A batch that raises is recorded as an error for each of its rows; rows
-    with a null reply are retried in the next round, up to ``attempts``.
+    Replies are stripped.  A batch that raises is sent again row by row, so a
+    failing row costs only itself; rows without a reply are retried in the next
+    round, up to ``attempts``, and their last error is kept in ``<out>_error``.
+    ``store`` is the folder of answered requests: a rerun that names the same
+    one never pays twice.
     """
 
-    def __init__(self, fn: Callable[[pd.DataFrame], pd.Series], model: str,
-                 partitions: int = 64, attempts: int = 3, store: str | None = None,
+    def __init__(self, fn: Callable[[pd.DataFrame], pd.Series], model: str, store: str,
+                 requests_per_task: int = REQUESTS_PER_TASK, attempts: int = 3,
                  backoff_seconds: float = 0.0):
         self.fn = fn
         self.model = model
-        self.partitions = partitions
+        self.store = store.rstrip("/")
+        self.requests_per_task = requests_per_task
         self.attempts = attempts
-        self.store = store
         self.backoff_seconds = backoff_seconds
 
-    def _store(self, df: DataFrame, wave: str) -> str:
-        root = self.store or f"{checkpoint_dir(df.sparkSession)}/responses"
-        return f"{root}/{wave}"
-
     @staticmethod
-    def _read(spark, path: str) -> DataFrame | None:
+    def _read(spark, path: str) -> DataFrame:
+        """The store's rows; none where nothing was written yet.  Any other
+        failure to read is raised."""
         try:
             return spark.read.schema(_REPLY_SCHEMA).parquet(path)
-        except Exception:  # noqa: BLE001 - nothing written yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], _REPLY_SCHEMA)
 
     def complete(self, df: DataFrame, system: str, user: str, out: str,
                  wave: str = "wave") -> DataFrame:
         spark = df.sparkSession
-        path = self._store(df, wave)
+        path = f"{self.store}/{wave}"
         fn = self.fn
-        keyed = df.withColumn("_rid", request_id(self.model, F.col(system), F.col(user)))
+        # the wave's rows once; prompts only in the request table
+        keyed = written(df.withColumn("_rid", request_id(self.model, F.col(system), F.col(user))),
+                        f"{wave}-rows")
         requests = (keyed.select(F.col("_rid").alias("request_id"),
                                  F.col(system).alias("system_prompt"),
                                  F.col(user).alias("user_prompt"))
                     .dropDuplicates(["request_id"]))
         for attempt in range(1, self.attempts + 1):
-            done = self._read(spark, path)
-            pending = requests
-            if done is not None:
-                pending = requests.join(
-                    done.filter(F.col("content").isNotNull()).select("request_id"),
-                    "request_id", "left_anti")
-            if pending.isEmpty():
+            answered = self._read(spark, path).filter(F.col("content").isNotNull())
+            pending = requests.join(answered.select("request_id"), "request_id", "left_anti")
+            n = pending.count()
+            if n == 0:
                 break
             if attempt > 1 and self.backoff_seconds:
                 time.sleep(self.backoff_seconds * 2 ** (attempt - 2))
 
             def call(batches, _attempt=attempt):
                 for pdf in batches:
-                    try:
-                        content = pd.Series(fn(pdf[["system_prompt", "user_prompt"]]),
-                                            index=pdf.index, dtype=object)
-                        err = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-                    except Exception as e:  # noqa: BLE001 - recorded per row
-                        content = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-                        err = pd.Series([repr(e)[:500]] * len(pdf), index=pdf.index, dtype=object)
-                    yield pd.DataFrame({"request_id": pdf["request_id"],
-                                        "content": content.where(content.notna(), None),
-                                        "error": err,
-                                        "attempt": _attempt})
-
-            (pending.repartition(self.partitions)
-             .mapInPandas(call, _REPLY_SCHEMA)
+                    content, err = _answers(fn, pdf[["system_prompt", "user_prompt"]])
+                    yield pd.DataFrame({
+                        "request_id": pdf["request_id"],
+                        "content": pd.Series([None if c is None or c != c else str(c) for c in content],
+                                             dtype=object, index=pdf.index),
+                        "error": pd.Series(err, dtype=object, index=pdf.index),
+                        "attempt": _attempt})
+
+            width = -(-n // self.requests_per_task)
+            (pending.repartition(width).mapInPandas(call, _REPLY_SCHEMA)
+             .withColumn("content", py_strip(F.col("content")))
              .write.mode("append").parquet(path))
-        done = self._read(spark, path)
-        replies = (done.filter(F.col("content").isNotNull())
-                   .groupBy("request_id")
-                   .agg(F.min_by("content", "attempt").alias(out)))
-        return (keyed.join(replies, keyed["_rid"] == replies["request_id"], "left")
-                .drop("request_id", "_rid"))
+        done = self._read(spark, path).groupBy("request_id").agg(
+            F.min_by("content", F.when(F.col("content").isNotNull(), F.col("attempt"))).alias(out),
+            F.max_by("error", "attempt").alias(f"{out}_error"))
+        done = done.withColumn(f"{out}_error", F.when(
+            F.col(out).isNull(), F.coalesce(f"{out}_error", F.lit("no reply"))))
+        return keyed.join(done.withColumnRenamed("request_id", "_rid"), "_rid", "left").drop("_rid")

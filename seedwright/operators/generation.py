@@ -6,9 +6,8 @@ completion -> IRRELEVANT/empty filter.
 chunk) -> instruction prompt (with the task's one-shot when it has one) ->
 completion -> blank/IRRELEVANT filter -> reply parsed into pairs natively.
 
-With a ``ColumnCompleter`` both waves stay one narrow plan (no exchange after
-the chunk scan).  With a ``BatchCompleter`` each wave is written and read
-back before the next starts.
+Each wave is written and read back before it is filtered and parsed, so no
+reply is computed twice and no prompt is inlined into a later step.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.parse import pair_blocks
 from ..functions.prompts import content_prompt, instruction_prompt
 from ..functions.text import keep_content_reply, keep_instruction_reply, slug
+from ..session import written
 from ..sources.catalog import Catalog
 from .agents import sample_agents
 
@@ -42,8 +42,8 @@ def content_wave(chunks: DataFrame, catalog: Catalog, completer, seed=0, k: int
     req = content_requests(chunks, catalog, seed, k, debug)
     rep = completer.complete(req, "system_prompt", "user_prompt", "content", wave="content")
     rep = (rep.withColumn("transformation_type", slug(F.col("content_agent")))
-           .withColumn("kept", keep_content_reply(F.col("content")))
            .drop("system_prompt", "user_prompt"))
+    rep = written(rep, "content-wave").withColumn("kept", keep_content_reply(F.col("content")))
     return rep if keep_rejected else rep.filter("kept").drop("kept")
 
 
@@ -52,8 +52,8 @@ def instruction_requests(contents: DataFrame, catalog: Catalog, seed=0, k: int =
     s = sample_agents(contents, catalog, "instruction", k, seed, debug, "_instr_agents")
     ex = s.select("*", F.posexplode("_instr_agents").alias("instr_pos", "_a")) \
         .drop("_instr_agents")
-    shots = F.broadcast(catalog.one_shots.select(
-        "task", F.col("instruction").alias("_shot_i"), F.col("answer").alias("_shot_a")))
+    shots = catalog.one_shots.select(
+        "task", F.col("instruction").alias("_shot_i"), F.col("answer").alias("_shot_a"))
     ex = ex.join(shots, "task", "left")
     return (ex.withColumn("instr_pos", F.col("instr_pos").cast("int"))
             .withColumn("instruction_agent", F.col("_a.name"))
@@ -67,7 +67,7 @@ def instruction_replies(contents: DataFrame, catalog: Catalog, completer, seed=0
                         k: int = 3, debug: bool = False) -> DataFrame:
     req = instruction_requests(contents, catalog, seed, k, debug)
     rep = completer.complete(req, "system_prompt", "user_prompt", "reply", wave="instruction")
-    return rep.drop("system_prompt", "user_prompt")
+    return written(rep.drop("system_prompt", "user_prompt"), "instruction-wave")
 
 
 def pairs_from_replies(replies: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.mcq import (INSPECT_DEFAULTS, answer_letter, choices_part, has_choices,
                              question_part)
-from ..functions.text import is_missing
+from ..functions.text import is_missing, py_strip
 
 
 def mcq_filter(samples: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def inspect_rows(samples: DataFrame) -> DataFrame:
     return (out.withColumn("question", question_part(F.col("instruction")))
             .withColumn("choices", choices_part(F.col("instruction")))
             .withColumn("choice_lines", F.transform(F.split(F.col("choices"), "\n"),
-                                                    lambda c: F.trim(c))))
+                                                    lambda c: py_strip(c))))
 
 
 def sample_n(samples: DataFrame, n: int = 5, seed=0, key_col: str = "pair_id") -> DataFrame:

@@ -48,17 +48,31 @@ def flatten_chat(chats: DataFrame) -> DataFrame:
 
 
 def write_jsonl(chats: DataFrame, path: str, mode: str = "append") -> None:
-    """JSON lines, one folder per task; null fields kept as null."""
-    (chats.write.mode(mode).option("ignoreNullFields", "false")
-     .partitionBy("task").json(path))
+    """JSON lines of ``messages`` and ``metadata`` only, in one folder per
+    task where there is a task; null fields kept as null."""
+    keys = ["task"] if "task" in chats.columns else []
+    (chats.select(*keys, "messages", "metadata").write.mode(mode)
+     .option("ignoreNullFields", "false").partitionBy(*keys).json(path))
 
 
-def chunk_status(chunks: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Per chunk - skipped (empty text), empty (no output pair) or
-    processed."""
+def write_samples(samples: DataFrame, path: str, mode: str = "append") -> None:
+    """Flat samples (the cleaned multiple-choice set) as JSON lines."""
+    samples.write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+
+def chunk_status(chunks: DataFrame, outputs: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """Per chunk - skipped (empty text), error (a request of it failed for
+    good and it has no pair; ``errors(task, chunk_id)``), empty (no output pair)
+    or processed."""
     n = outputs.groupBy("task", "chunk_id").agg(F.count(F.lit(1)).alias("n_pairs"))
     j = chunks.join(n, ["task", "chunk_id"], "left")
+    failed = F.lit(False)
+    if errors is not None:
+        j = j.join(errors.select("task", "chunk_id").distinct().withColumn("_failed", F.lit(True)),
+                   ["task", "chunk_id"], "left")
+        failed = F.coalesce(F.col("_failed"), F.lit(False))
     status = (F.when(is_missing(F.col("text")), F.lit("skipped_chunk"))
+              .when(failed & F.col("n_pairs").isNull(), F.lit("error_chunk"))
               .when(F.coalesce(F.col("n_pairs"), F.lit(0)) == 0, F.lit("empty_chunk"))
               .otherwise(F.lit("processed_chunk")))
     return j.select("task", "chunk_id", status.alias("status"),

@@ -6,9 +6,8 @@ wave -> parse, looped per chunk with the reference's fallback:
 * otherwise the refined pairs replace the previous ones.
 
 The per-chunk decisions are joins on ``(task, chunk_id)``; a chunk holds at
-most 27 x p pairs, so no group grows with the corpus.  With a batch
-completer each wave is written and read back; ``materialize`` also
-checkpoints each round so a lost executor never replays earlier rounds.
+most 27 x p pairs, so no group grows with the corpus.  Each wave and each
+round's result is written as parquet, so a lost executor never replays one.
 """
 
 from __future__ import annotations
@@ -20,20 +19,16 @@ from ..functions.parse import modified_pair, normalise_modified
 from ..functions.prompts import (EDITOR_SYSTEM, GOALS, SUGGESTER_SYSTEM, editor_prompt,
                                  suggester_prompt)
 from ..functions.text import is_missing
+from ..session import written
 
+TEXTS = ["original_text", "transformed_content"]
 LINEAGE = ["task", "chunk_id", "source", "original_text", "content_pos", "instr_pos",
            "block_pos", "agent", "instruction_agent", "transformed_content",
            "transformation_type", "instruction", "answer", "pair_id", "goal_no", "round",
            "parent_pair_id", "done"]
 KEY = ["task", "chunk_id"]
-
-
-def _freeze(df: DataFrame) -> DataFrame:
-    """Write to the shared checkpoint folder and read back: cuts lineage, so a
-    later stage never replays earlier model calls, and keeps plans small."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: What a round carries: no seed text and no content.
+LEAN = [c for c in LINEAGE if c not in TEXTS]
 
 
 def refine_start(pairs: DataFrame) -> DataFrame:
@@ -43,12 +38,11 @@ def refine_start(pairs: DataFrame) -> DataFrame:
             .withColumn("round", F.lit(0))
             .withColumn("parent_pair_id", F.lit(None).cast("string"))
             .withColumn("done", F.lit(False))
-            .select(*LINEAGE))
+            .select(*LEAN))
 
 
 def refine_round(cur: DataFrame, completer, round_no: int, min_refinements: int = 1,
-                 goals: list[str] | None = None, mcq_fallback: str = "parity",
-                 materialize: bool = True) -> DataFrame:
+                 goals: list[str] | None = None, mcq_fallback: str = "parity") -> DataFrame:
     goals = goals or GOALS
     counts = (cur.filter(~F.col("done")).groupBy(*KEY).count()
               .filter(F.col("count") >= min_refinements).select(*KEY))
@@ -59,52 +53,43 @@ def refine_round(cur: DataFrame, completer, round_no: int, min_refinements: int
             .withColumn("s_user", suggester_prompt(F.col("instruction"), F.col("answer"),
                                                    F.col("goal"))))
     srep = completer.complete(sreq, "s_sys", "s_user", "suggestions", wave=f"suggest_r{round_no}")
-    sok = srep.filter(~is_missing(F.col("suggestions"))).drop("s_sys", "s_user")
-    if materialize:  # each wave is a written table: no replay, small plans
-        sok = _freeze(sok)
+    sok = written(srep.drop("s_sys", "s_user"), f"suggest-{round_no}").filter(~is_missing(F.col("suggestions")))
     ereq = (sok.withColumn("e_sys", F.lit(EDITOR_SYSTEM))
             .withColumn("e_user", editor_prompt(F.col("instruction"), F.col("answer"),
                                                 F.col("suggestions"))))
     erep = completer.complete(ereq, "e_sys", "e_user", "modified", wave=f"edit_r{round_no}")
-    erep = erep.filter(~is_missing(F.col("modified"))).drop("e_sys", "e_user", "suggestions")
-    if materialize:
-        erep = _freeze(erep)
-    # normalised reply once, as its own column; the parser reads it many times
-    parsed = (erep.withColumn("_t", normalise_modified(F.col("modified")))
-              .withColumn("_m", modified_pair(F.col("modified"), mcq_fallback, F.col("_t")))
-              .drop("_t"))
+    # only what the result needs, and the reply normalised once: the parser reads it many times
+    erep = erep.select("task", "chunk_id", "source", "content_pos", "instr_pos", "block_pos",
+                       "instruction_agent", "transformation_type", "pair_id", "goal_no", "modified",
+                       normalise_modified(F.col("modified")).alias("_t"))
+    erep = written(erep, f"edit-{round_no}").filter(~is_missing(F.col("modified")))
+    parsed = erep.withColumn("_m", modified_pair(F.col("modified"), mcq_fallback, F.col("_t"))).drop("_t")
     new = (parsed.filter(F.col("_m").isNotNull()
                          & ~is_missing(F.col("_m.instruction")) & ~is_missing(F.col("_m.answer")))
-           .select("task", "chunk_id", "source", "original_text", "content_pos", "instr_pos",
-                   "block_pos",
+           .select("task", "chunk_id", "source", "content_pos", "instr_pos", "block_pos",
                    F.format_string(f"Refinement Round {round_no}, Goal %d", F.col("goal_no"))
                    .alias("agent"),
-                   "instruction_agent", "transformed_content", "transformation_type",
+                   "instruction_agent", "transformation_type",
                    F.col("_m.instruction").alias("instruction"),
                    F.col("_m.answer").alias("answer"),
                    F.md5(F.concat(F.col("pair_id"), F.lit(f"|r{round_no}g"),
                                   F.col("goal_no").cast("string"))).alias("pair_id"),
                    "goal_no", F.lit(round_no).alias("round"),
                    F.col("pair_id").alias("parent_pair_id"), F.lit(False).alias("done")))
-    if materialize:  # parsed once; read by the union and the fallback join
-        new = _freeze(new)
+    new = written(new.select(*LEAN), f"round-{round_no}")
     refined_chunks = new.select(*KEY).distinct()
-    keep_old = (cur.join(refined_chunks, KEY, "left_anti")
-                .withColumn("done", F.lit(True)).select(*LINEAGE))
-    return new.select(*LINEAGE).unionByName(keep_old)
+    keep_old = cur.join(refined_chunks, KEY, "left_anti").withColumn("done", F.lit(True)).select(*LEAN)
+    return new.unionByName(keep_old)
 
 
 def refine(pairs: DataFrame, completer, max_rounds: int = 1, min_refinements: int = 1,
-           goals: list[str] | None = None, mcq_fallback: str = "parity",
-           materialize: bool = True) -> DataFrame:
-    """``refine_instructions``: up to ``max_rounds`` rounds per chunk.  With
-    ``materialize`` the input pairs and every round are checkpointed."""
+           goals: list[str] | None = None, mcq_fallback: str = "parity") -> DataFrame:
+    """``refine_instructions``: up to ``max_rounds`` rounds per chunk (none: the
+    valid pairs as they are).  Rounds carry keys and pairs; the texts come back by
+    (task, chunk, content) at the end."""
+    pairs = written(pairs, "pairs")
+    texts = pairs.groupBy("task", "chunk_id", "content_pos").agg(*(F.first(c).alias(c) for c in TEXTS))
     cur = refine_start(pairs)
-    if materialize:
-        cur = _freeze(cur)
     for r in range(1, max_rounds + 1):
-        cur = refine_round(cur, completer, r, min_refinements, goals, mcq_fallback,
-                           materialize)
-        if materialize:
-            cur = _freeze(cur)
-    return cur
+        cur = refine_round(cur, completer, r, min_refinements, goals, mcq_fallback)
+    return cur.join(texts, ["task", "chunk_id", "content_pos"], "left").select(*LINEAGE)

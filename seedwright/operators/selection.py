@@ -9,11 +9,11 @@ same partition-offset scan as the chunk index.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_missing, py_strip
-from .chunking import dense_index
 
 
 def skip_empty(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,11 +74,11 @@ def append_progress(progress: DataFrame, path: str) -> None:
 
 
 def read_progress_table(spark, path: str) -> DataFrame | None:
+    """The progress table, or None where none was written; any other failure
+    to read is raised, so a damaged table never counts as "nothing done"."""
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no progress yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-
-
-def dense_positions(df: DataFrame, order_cols: list[str], out: str = "pos") -> DataFrame:
-    return dense_index(df, order_cols, out)

@@ -11,7 +11,6 @@ import json
 import os
 import re
 
-from ..functions import mcq as M
 from ..functions.parse import sql_block_fields, sql_blocks_list, sql_modified_fields
 from ..functions.prompts import (EDITOR_SYSTEM, GOALS, SUGGESTER_SYSTEM, sql_content_prompt,
                                  sql_editor_prompt, sql_instruction_prompt,

@@ -237,7 +237,7 @@ def oracle() -> dict[str, str]:
         "limit_chunks": f"SELECT chunk_id, source FROM ({doc_chunks()}) WHERE chunk_id < {MAX_CHUNKS}",
         "shuffle_chunks": (f"SELECT chunk_id, pos FROM (SELECT chunk_id, row_number() OVER "
                            f"(PARTITION BY task ORDER BY {shuffle_key}, chunk_id) - 1 AS pos "
-                           f"FROM ({doc_chunks()})) WHERE pos < {MAX_CHUNKS}"),
+                           f"FROM ({doc_chunks()}))"),
         "resume_anti": (f"SELECT chunk_id, source FROM ({doc_chunks()}) c WHERE chunk_id NOT IN "
                         f"(SELECT TRY_CAST({sql_strip('CAST(doc_id AS VARCHAR)')} AS BIGINT) FROM labels "
                         f"WHERE TRY_CAST({sql_strip('CAST(doc_id AS VARCHAR)')} AS BIGINT) IS NOT NULL)"),
@@ -269,9 +269,9 @@ def oracle() -> dict[str, str]:
         "mcq_letter": (f"SELECT pair_id, {M.sql_has_choices('instruction')} AS has_choices, "
                        f"{letter} AS letter FROM ({flat})"),
         "flatten_chat": ("SELECT u.conv_id, u.turn, u.text AS instruction, a.text AS answer, "
-                         "'conversations' AS source FROM conversations u JOIN conversations a "
+                         "'conversations' AS source FROM conversations u LEFT JOIN conversations a "
                          "ON a.conv_id = u.conv_id AND a.turn - 1 = u.turn "
-                         "WHERE u.role = 'user' AND a.role = 'assistant'"),
+                         "AND u.role = 'user' AND a.role = 'assistant'"),
         "inspect_sample": (f"SELECT pair_id, question, choices, answer, agent, instruction_agent, "
                            f"(SELECT count(*) FROM ({flat})) AS total FROM ({inspect_sql(flat)}) "
                            f"ORDER BY md5('{SEED}|' || pair_id) LIMIT 5"),

@@ -12,30 +12,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import mcq as M
-from ..functions.parse import modified_pair, pair_blocks, sql_block_fields, sql_blocks_list
-from ..functions.parse import sql_clean_reply, sql_modified_fields
-from ..functions.prompts import (CONCISE, EDITOR_MARKER, EDITOR_SYSTEM, content_prompt,
-                                 instruction_prompt, sql_content_prompt,
-                                 sql_instruction_prompt)
-from ..functions.text import (collapse_ws, keep_content_reply,
-                              keep_instruction_reply, sql_collapse_ws, sql_is_missing,
-                              sql_keep_content_reply, sql_keep_instruction_reply, sql_str,
-                              sql_strip_fences, sql_strip_markdown, strip_fences,
-                              strip_markdown)
+from ..functions.parse import modified_pair, pair_blocks
+from ..functions.prompts import EDITOR_MARKER, EDITOR_SYSTEM, content_prompt, instruction_prompt
+from ..functions.text import collapse_ws, keep_instruction_reply, strip_fences, strip_markdown
 from ..operators import output as O
-from ..operators.agents import sample_agents, sql_sample
+from ..operators.agents import sample_agents
 from ..operators.chunking import dense_index, fixed_slices, pack_min_chars
-from ..operators.completion import OfflineCompleter, sql_offline_reply_h
-from ..operators.generation import (content_wave, generate_pairs, instruction_replies,
-                                    instruction_requests, pairs_from_replies, parse_report)
+from ..operators.completion import OfflineCompleter
+from ..operators.generation import content_wave, generate_pairs, instruction_replies, parse_report
 from ..operators.mcq import complete_samples, inspect_rows, mcq_filter, sample_n
 from ..operators.refinement import LINEAGE, refine
 from ..operators.selection import (limit_chunks, order_chunks, parse_progress,
                                    progress_rows, resume_filter, skip_empty)
 from ..sources.catalog import load_catalog
-from ..sources.pages import html_text, normalise_pages, sql_html_text
+from ..sources.pages import html_text, normalise_pages
 from ..sources.tables import TableResolver, TableSource, read_sources, resolve_specs, spec_columns
-from . import oracle as Q
 
 TASK = "reading_comprehension"
 SEED = 42
@@ -48,7 +39,7 @@ _catalogs: dict = {}
 
 
 def catalog(spark: SparkSession, tasks: list[str] | None = None):
-    key = (id(spark), tuple(tasks or ()))
+    key = (spark.sparkContext.applicationId, tuple(tasks or ()))
     if key not in _catalogs:
         _catalogs[key] = load_catalog(spark, tasks=tasks)
     return _catalogs[key]
@@ -141,8 +132,7 @@ def _instr_prompts(spark, sf, one_shot: bool):
     s = sample_agents(contents, cat, "instruction", 3, SEED)
     ex = s.select("task", "chunk_id", "content_pos", "content",
                   F.posexplode("sampled").alias("instr_pos", "a"))
-    shots = F.broadcast(cat.one_shots.select("task", F.col("instruction").alias("si"),
-                                             F.col("answer").alias("sa")))
+    shots = cat.one_shots.select("task", F.col("instruction").alias("si"), F.col("answer").alias("sa"))
     ex = ex.join(shots, "task", "left")
     si = F.col("si") if one_shot else F.lit(None).cast("string")
     sa = F.col("sa") if one_shot else F.lit(None).cast("string")
@@ -279,7 +269,7 @@ def q_limit_chunks(spark, sf):
 
 def q_shuffle_chunks(spark, sf):
     c = order_chunks(doc_chunks(spark, sf), shuffle=True, seed=SEED)
-    return _longs(limit_chunks(c, MAX_CHUNKS).select("chunk_id", "pos"))
+    return _longs(c.select("chunk_id", "pos"))
 
 
 def q_resume_anti(spark, sf):
@@ -360,10 +350,10 @@ def q_mcq_letter(spark, sf):
 
 def q_flatten_chat(spark, sf):
     conv = _t(spark, sf, "conversations")
-    u = conv.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("q"))
+    u = conv.select("conv_id", "turn", "role", F.col("text").alias("q"))
     a = conv.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("a"))
-    pairs = u.join(a, ["conv_id", "turn"])
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.lit("user").alias("role"), F.col("text").alias("a"))
+    pairs = u.join(a, ["conv_id", "turn", "role"], "left")  # turns without an answer stay
     recs = O.chat_records(pairs.select("conv_id", "turn", F.col("q").alias("instruction"),
                                        F.col("a").alias("answer"),
                                        F.lit("conversations").alias("source"),

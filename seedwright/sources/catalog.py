@@ -7,14 +7,12 @@ Both file shapes are accepted: a bare array of agents, or an object
 than ``{text}``; those named in ``params`` are filled (a value of ``TEXT``
 means "the chunk text"), the rest mark the agent unresolved and it is left
 out before sampling.  The catalogue is configuration with a fixed size (357
-agents in the bundled one), so it is broadcast; ``MAX_AGENTS`` guards that.
+agents in the bundled one).
 """
 
 from __future__ import annotations
 
-import json
 import os
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +21,6 @@ from pyspark.sql import functions as F
 BUNDLED = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "agents")
 TEXT = object()  # params value meaning "the chunk text"
 DEFAULT_PARAMS = {"topic": TEXT, "question": TEXT}
-MAX_AGENTS = 100_000
 SLOT_RE = r"\{([A-Za-z_]+)\}"
 
 _AGENT_SCHEMA = "name string, system_prompt string, user_prompt_template string"
@@ -97,8 +94,6 @@ def load_catalog(spark: SparkSession, root: str = BUNDLED, params: dict | None =
                 F.col("shot.answer").alias("answer"))
     agents = agents.cache()
     n = agents.count()
-    if n > MAX_AGENTS:
-        raise ValueError(f"catalogue has {n} agents; more than {MAX_AGENTS} will not be broadcast")
     task_list = sorted(r["task"] for r in agents.select("task").distinct().collect())
     return Catalog(agents, shots.cache(), task_list, n)
 
@@ -109,13 +104,3 @@ def template_check(catalog: Catalog) -> DataFrame:
         "task", "stage", "agent_pos", "name", "unresolved", "escaped_braces",
         ((F.size("unresolved") > 0) | F.col("escaped_braces")).alias("flagged"))
 
-
-def read_catalog_json(path: str) -> list[dict]:
-    """Agents of one file in either shape (for tooling and tests)."""
-    with open(path, encoding="utf-8") as f:
-        doc = json.load(f)
-    return doc if isinstance(doc, list) else doc.get("agents", [])
-
-
-def placeholders(template: str) -> list[str]:
-    return sorted(set(re.findall(SLOT_RE, template)))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse_ws
+from ..session import written
 
 # Html clean-up patterns.
 SCRIPT_RE = r"(?is)<script\b.*?</script>"
@@ -55,7 +56,8 @@ def normalise_pages(pages: DataFrame, text_col: str = "raw",
     out = pages
     if pages_filter:
         out = out.filter(F.col("page_no").isin(pages_filter))
-    out = out.withColumn("text", collapse_ws(F.col(text_col)))
+    # written first: pushed below the clean-up, the filter would do it all twice
+    out = written(out.withColumn("text", collapse_ws(F.col(text_col))), "pages")
     return out.filter(F.col("text") != "")
 
 
@@ -75,7 +77,7 @@ def read_pdf_pages(spark: SparkSession, folder: str,
                     for n, txt in enumerate(extractor(content), start=1):
                         rows.append((path, n, txt, None))
                 except Exception as e:  # noqa: BLE001 - per-file isolation
-                    rows.append((path, n + 1, None, repr(e)[:500]))
+                    rows.append((path, n + 1, None, repr(e)))
             yield pd.DataFrame(rows, columns=["path", "page_no", "raw", "error"])
 
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf")

@@ -4,8 +4,7 @@ A spec reads ``name[:text_field[:split,split,...[:min_chars]]]``.  ``name``
 is resolved to a table by a ``TableResolver``: a folder of tables (parquet by
 default), each with an optional split column and an order column.  A split
 that does not exist, or a text column that is missing, contributes no rows and
-the run goes on (the reference prints and continues); the outcome is kept in
-``SourceRead.status``.
+the run goes on; the outcome is kept in ``SourceRead.status``.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,48 +109,46 @@ class SourceRead:
     status: list[tuple[str, str, str]]  # (source, split, "ok" | reason)
 
 
-def read_split(spark: SparkSession, src: TableSource, split: str, text_field: str) -> DataFrame | None:
-    """Rows of one split: (ord, text).  None when the split or field is absent."""
+def _spec_rows(spark: SparkSession, src: TableSource, sp: SourceSpec, pos: int) -> tuple[DataFrame, list]:
+    """All splits of a spec from one scan, and (source, split, status) of each."""
     df = spark.read.format(src.fmt).load(src.path)
-    if text_field not in df.columns:
-        return None
-    if src.split_col:
-        df = df.filter(F.col(src.split_col) == split)
-    elif split != "train":
-        return None
-    order = src.order_col or next((c for c in df.columns if c.endswith("_id")), None)
-    ord_col = F.col(order).cast("long") if order else F.monotonically_increasing_id()
-    return df.select(ord_col.alias("ord"), F.col(text_field).cast("string").alias("text"))
+    field_name = sp.text_field or "text"
+    if field_name not in df.columns:
+        raise LookupError(f"no column {field_name}")
+    if not src.order_col:
+        raise LookupError("no order column named")
+    if df.schema[src.order_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise LookupError(f"order column {src.order_col} is not a whole number")
+    wanted = F.array(*[F.struct(F.lit(s).alias("split"), F.lit(j).cast("int").alias("split_ord"))
+                       for j, s in enumerate(sp.splits)])
+    value = F.col(src.split_col).cast("string") if src.split_col else F.lit("train")
+    # which of the wanted splits hold rows; reading them also shows a damaged file
+    held = {r[0] for r in df.filter(value.isin(*sp.splits)).select(value).distinct().collect()}
+    status = [(sp.name, s, "ok" if s in held else "missing") for s in sp.splits]
+    rows = df.select(F.col(src.order_col).cast("long").alias("ord"),
+                     F.col(field_name).cast("string").alias("text"),
+                     F.explode(F.filter(wanted, lambda w: w["split"] == value)).alias("_s"))
+    return rows.select(F.lit(sp.name).alias("source"), F.lit(pos).cast("int").alias("source_ord"),
+                       F.col("_s.split").alias("split"), F.col("_s.split_ord").alias("split_ord"),
+                       "ord", "text", F.lit(sp.min_chars).cast("int").alias("min_chars")), status
 
 
 def read_sources(spark: SparkSession, specs: list[SourceSpec], resolver: TableResolver) -> SourceRead:
-    """S2+S3: all (spec, split) pairs as one tagged frame:
-    source, source_ord, split, split_ord, ord, text, min_chars."""
-    frames, status = [], []
+    """S2+S3: all (spec, split) pairs as one tagged frame, one scan per spec:
+    source, source_ord, split, split_ord, ord, text, min_chars.  A source needs
+    an order column of whole numbers: chunk ids, and so resuming, rest on it."""
+    out, status = None, []
     for i, sp in enumerate(specs):
-        src = resolver.source(sp.name)
-        for j, split in enumerate(sp.splits):
-            try:
-                df = read_split(spark, src, split, sp.text_field or "text")
-            except Exception as e:  # noqa: BLE001 - a failing split is skipped
-                status.append((sp.name, split, f"error: {type(e).__name__}"))
-                continue
-            if df is None:
-                status.append((sp.name, split, "missing"))
-                continue
-            status.append((sp.name, split, "ok"))
-            frames.append(df.select(F.lit(sp.name).alias("source"),
-                                    F.lit(i).cast("int").alias("source_ord"),
-                                    F.lit(split).alias("split"),
-                                    F.lit(j).cast("int").alias("split_ord"),
-                                    "ord", "text",
-                                    F.lit(sp.min_chars).cast("int").alias("min_chars")))
-    if not frames:
-        empty = spark.createDataFrame(
+        try:
+            rows, seen = _spec_rows(spark, resolver.source(sp.name), sp, i)
+        except (LookupError, PySparkException) as e:  # a failing source is left out, the run goes on
+            why = str(e) if isinstance(e, LookupError) else e.getCondition() or type(e).__name__
+            status += [(sp.name, s, f"error: {why}") for s in sp.splits]
+            continue
+        status += seen
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        out = spark.createDataFrame(
             [], "source string, source_ord int, split string, split_ord int, ord long, "
                 "text string, min_chars int")
-        return SourceRead(empty, status)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
     return SourceRead(out, status)

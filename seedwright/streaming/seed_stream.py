@@ -10,6 +10,8 @@ file batch (``maxFilesPerTrigger``), not a row.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..operators.generation import generate_pairs
 from ..operators.output import chat_records, output_records, write_jsonl
 from ..operators.selection import append_progress, progress_rows, resume_filter
 from ..operators.selection import read_progress_table
+from ..session import written
 from ..sources.catalog import Catalog
 
 
@@ -30,9 +33,9 @@ def start_seed_stream(spark: SparkSession, seed_dir: str, schema: str, catalog:
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(seed_dir))
 
+    run_id = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+
     def run_batch(batch: DataFrame, epoch: int) -> None:
-        from ..session import checkpoint_dir
-        checkpoint_dir(batch.sparkSession)
         chunks = batch.select(F.lit(task).alias("task"),
                               F.col(order_col).cast("long").alias("chunk_id"),
                               F.lit(source_id).alias("source"),
@@ -42,8 +45,10 @@ def start_seed_stream(spark: SparkSession, seed_dir: str, schema: str, catalog:
         if done is not None:
             chunks = resume_filter(chunks, done, ["task", "source_id", "chunk_id"])
         pairs = generate_pairs(chunks.drop("source_id"), catalog, completer, seed)
-        pairs = pairs.checkpoint(eager=True)  # one model pass per batch
-        write_jsonl(chat_records(output_records(pairs, completer.model)), out_dir)
+        pairs = written(pairs, "stream-pairs")  # one model pass per batch
+        # a replayed batch overwrites its own folder and adds nothing
+        write_jsonl(chat_records(output_records(pairs, completer.model)),
+                    f"{out_dir}/batch={run_id}-{epoch}", mode="overwrite")
         append_progress(progress_rows(pairs, source_id), progress_dir)
 
     w = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
