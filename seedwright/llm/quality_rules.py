@@ -48,7 +48,8 @@ RULES = (
     Rule("exclamations", "n_exclamations / n_words", "<=", 0.2),
     Rule("stop_words", "n_stop_words / n_words", ">=", 0.01),
     Rule("letterless_words", "n_letterless / n_words", "<=", 0.4),
-    Rule("repeated_lines", "n_dup_lines / n_lines", "<=", 0.3),
+    Rule("stutters", "n_stutters / n_words", "<=", 0.2),
+    Rule("repeated_lines", "n_dup_lines / n_lines", "<=", 0.5),
     Rule("open_lines", "n_open_lines / n_lines", "<=", 0.3),
 )
 
@@ -89,6 +90,7 @@ def counts(docs: DataFrame) -> DataFrame:
         (F.char_length("_t") - drop("!")).cast("long").alias("n_exclamations"),
         F.size(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.size(F.filter("_words", lambda w: ~w.rlike(r"\p{L}"))).cast("long").alias("n_letterless"),
+        F.size(F.filter("_words", lambda w, i: (i > 0) & (F.get("_words", i - 1) == w))).cast("long").alias("n_stutters"),
         F.when(F.size(F.array_distinct("_h")) < F.size("_h"),
                F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
         .alias("_sorted"))
@@ -153,6 +155,7 @@ m as (select w.doc_id, cast(len(words) as bigint) as n_words,
         cast(len(list_filter(ls, lambda x: regexp_matches(x, '\.\.\.[\x20\x09-\x0D]*$'))) as bigint) as n_open_lines,
         cast(len(list_filter(words, lambda x: lower(x) in ({stops}))) as bigint) as n_stop_words,
         cast(len(list_filter(words, lambda x: not regexp_matches(x, '\p{{L}}'))) as bigint) as n_letterless,
+        cast(len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) as bigint) as n_stutters,
         cast(coalesce(c.n, 0) as bigint) as n_repeat_words
       from w left join c on w.doc_id = c.doc_id),
 b as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed from m)
