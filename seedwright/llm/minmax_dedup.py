@@ -7,13 +7,19 @@ bucket with a probability of about 5e-8.  Two documents that share a bucket are
 candidates; a link counts only when the full sets confirm it.
 
 Copies (equal sets, told by 128 bits) are one class from the start, found by a
-group minimum that combines before the shuffle.  Buckets never emit all pairs:
-in each round some members lead and are compared with the members of other
-components; members of one component are never compared again.  A bucket is
-finished when at most one component has members that have not led, for then
-every pair across components has been compared.  The number of leaders grows
-fourfold by round, so a bucket that stays apart ends in a logarithmic number of
-rounds, and a group of near copies mostly in one or two.
+group minimum that combines before the shuffle.  Then two rounds follow.  In the
+first, each bucket's least member is compared with the others, which joins
+groups of near copies.  In the second, members that are still in different
+components are compared: in buckets of up to ``SMALL_BUCKET`` members pair by
+pair, in larger ones by two joins that together lose no link:
+
+* pairs whose overlap could come from frequent shingles alone meet in their
+  bucket (their first common one), if the bound on their overlap allows a link;
+* any other link needs a common rare shingle (in at most ``RARE`` members of
+  large buckets), so these pairs meet on their rare shingles.
+
+Members of the bucket's largest component are not compared with each other, and
+nor are members of one component anywhere.
 
 Defined cases: null and empty texts have an empty set, size 0, and are linked
 with nothing; texts of fewer words than a shingle have their whole sequence as
@@ -29,7 +35,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedwright.llm.common import (as_signed, bitmap, is_empty, maybe_in, mix64, saved, table,
@@ -42,7 +48,10 @@ BANDS = 32
 #: Signature values of 128 that must agree before sets are compared.  A pair at
 #: similarity 0.8 agrees in 102.6 on average, standard deviation 4.5.
 MIN_AGREE = 72
-LEADERS_GROWTH = 4
+#: Buckets up to this size compare members pair by pair in the second round.
+SMALL_BUCKET = 32
+#: Members of large buckets that hold a rare shingle, at most.
+RARE = 64
 
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -135,25 +144,27 @@ class _Confirmer:
         self.docs, self.classes, self.k, self.percent = docs, classes, k, percent
         self.sets: DataFrame | None = None
 
+    def make_sets(self, nodes: DataFrame) -> None:
+        """The sets of these nodes, besides those at hand."""
+        if self.sets is not None:
+            nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
+        need = saved(nodes.distinct(), "set-nodes")
+        mine = (maybe_in(self.docs.filter("doc_id is not null"), "doc_id", bitmap(need, "node"))
+                .join(need.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"))
+        made = saved(mine.mapInArrow(partial(_sets, k=self.k), "node long, members array<long>"), "sets")
+        self.sets = made if self.sets is None else self.sets.unionByName(made)
+
+    def may_link(self, n_u: str, n_v: str) -> Column:
+        return F.lit(100) * F.least(n_u, n_v) >= F.lit(self.percent) * F.greatest(n_u, n_v)
+
     def __call__(self, pairs: DataFrame) -> DataFrame:
         side = self.classes.select("node", "n", "sig")
         u = side.select(*(F.col(c).alias(f"{c}_u" if c != "node" else "u") for c in side.columns))
         v = side.select(*(F.col(c).alias(f"{c}_v" if c != "node" else "v") for c in side.columns))
-        near = (pairs.join(u, "u").join(v, "v")
-                .filter(F.lit(100) * F.least("n_u", "n_v") >= F.lit(self.percent) * F.greatest("n_u", "n_v"))
+        near = (pairs.join(u, "u").join(v, "v").filter(self.may_link("n_u", "n_v"))
                 .select("u", "v", "sig_u", "sig_v").mapInArrow(_agreeing, "u long, v long"))
-        near = saved(near.distinct(), "near-pairs")
-        need = near.select(F.col("u").alias("node")).union(near.select("v")).distinct()
-        if self.sets is not None:
-            need = need.join(self.sets.select("node"), "node", "left_anti")
-        need = saved(need, "set-nodes")
-        if not is_empty(need):
-            mine = (maybe_in(self.docs.filter("doc_id is not null"), "doc_id", bitmap(need, "node"))
-                    .join(need.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"))
-            made = saved(mine.mapInArrow(partial(_sets, k=self.k), "node long, members array<long>"), "sets")
-            self.sets = made if self.sets is None else self.sets.unionByName(made)
-        if self.sets is None:
-            return near
+        near = saved(near, "near-pairs")
+        self.make_sets(near.select(F.col("u").alias("node")).union(near.select("v")))
         both = (near.join(self.sets.select(F.col("node").alias("v"), F.col("members").alias("y")), "v")
                 .join(self.sets.select(F.col("node").alias("u"), F.col("members").alias("x")), "u"))
         shared = both.select("u", "v", F.size(F.array_intersect("x", "y")).cast("long").alias("i"),
@@ -162,30 +173,52 @@ class _Confirmer:
                 .select("u", "v").distinct())
 
 
-def _candidates(bands: DataFrame, stars: DataFrame | None, led: DataFrame | None,
-                leaders: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs to compare, new leaders) of a round."""
-    cur = bands
-    if stars is not None:
-        cur = (bands.join(stars.select(F.col("u").alias("node"), F.col("v").alias("least")), "node", "left")
-               .select("bucket", "node", F.coalesce("least", "node").alias("comp")))
-    else:
-        cur = bands.withColumn("comp", F.col("node"))
-    waiting = cur if led is None else cur.join(led, ["bucket", "node"], "left_anti")
-    by_comp = waiting.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
-    open_ = (by_comp.groupBy("bucket").agg(F.count("*").alias("comps"),
-                                           F.max_by("comp", F.struct("k", "comp")).alias("biggest"))
-             .filter("comps > 1").select("bucket", "biggest"))
-    order = Window.partitionBy("bucket").orderBy("node")
-    lead = (waiting.join(open_, "bucket").filter("comp <> biggest")
-            .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= leaders)
-            .select("bucket", "node", "comp"))
-    lead = saved(lead, "leaders")
-    pairs = (cur.withColumnRenamed("node", "other").withColumnRenamed("comp", "other_comp")
-             .join(lead, "bucket").filter("comp <> other_comp")
-             .select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"))
-             .distinct())
-    return pairs, lead.select("bucket", "node")
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"))
+
+
+def _other(df: DataFrame, *columns: str) -> DataFrame:
+    """A copy for the other side of a pair."""
+    names = {"node": "other"} | {c: f"other_{c}" for c in columns}
+    return df.select("bucket", *(F.col(a).alias(b) for a, b in names.items()))
+
+
+def _small_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs across components of small buckets; the lead's are compared already."""
+    rest = rows.filter((F.col("m") <= SMALL_BUCKET) & (F.col("node") != F.col("lead"))).select("bucket", "node", "comp")
+    return _ordered(rest.join(_other(rest, "comp"), "bucket").filter("node < other and comp <> other_comp"))
+
+
+def _large_pairs(rows: DataFrame, classes: DataFrame, confirm: _Confirmer) -> DataFrame | None:
+    """Pairs across components of large buckets that can be links."""
+    rows = rows.filter(F.col("m") > SMALL_BUCKET)
+    if is_empty(rows):
+        return None
+    biggest = (rows.groupBy("bucket", "comp").agg(F.count("*").alias("k")).groupBy("bucket")
+               .agg(F.max_by("comp", F.struct("k", "comp")).alias("biggest")))
+    rows = saved(rows.filter(F.col("node") != F.col("lead")).join(biggest, "bucket")
+                 .select("bucket", "band", "node", "comp", (F.col("comp") != F.col("biggest")).alias("apart")), "large-rows")
+    nodes = rows.groupBy("node").agg(F.first("comp").alias("comp"), F.max("apart").alias("apart"))
+    confirm.make_sets(nodes.select("node"))
+    held = (confirm.sets.join(nodes, "node").select("node", "comp", "apart", F.size("members").cast("long").alias("n"),
+                                                    F.explode("members").alias("shingle")))
+    times = held.groupBy("shingle").agg(F.count("*").alias("times"))
+    held = saved(held.join(times, "shingle"), "held-shingles")
+    frequent = held.groupBy("node").agg(F.count_if(F.col("times") > RARE).alias("frequent"))
+    info = saved(frequent.join(classes.select("node", "n", "bands"), "node"), "large-nodes")
+    # overlap that a link needs, times 100 + percent; bounds compare with it
+    need = F.lit(confirm.percent) * (F.col("n") + F.col("other_n"))
+    bound = F.lit(100 + confirm.percent) * F.least("frequent", "other_frequent")
+    rows = rows.join(info, "node")
+    earlier = F.expr("exists(zip_with(slice(bands, 1, band), slice(other_bands, 1, band), (a, b) -> a = b), x -> x)")
+    dense = (rows.filter("apart").join(_other(rows, "comp", "n", "apart", "frequent", "bands"), "bucket")
+             .filter("comp <> other_comp and (not other_apart or node < other)")
+             .filter(bound >= need).filter(confirm.may_link("n", "other_n")).filter(~earlier))
+    rare = held.filter(F.col("times").between(2, RARE)).join(frequent, "node").withColumnRenamed("shingle", "bucket")
+    light = (rare.filter("apart").join(_other(rare, "comp", "n", "apart", "frequent"), "bucket")
+             .filter("comp <> other_comp and (not other_apart or node < other)")
+             .filter(bound < need).filter(confirm.may_link("n", "other_n")))
+    return _ordered(dense).unionByName(_ordered(light).distinct())
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -201,30 +234,26 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
                     .agg(F.min(F.struct("doc_id", "sig", "bands")).alias("r"))
                     .select(F.col("r.doc_id").alias("node"), "n", "d1", "d2", "r.sig", "r.bands"),
                     "classes")
-    bands = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = saved(bands.groupBy("bucket").agg(F.count("*").alias("k")).filter("k > 1").select("bucket"),
+    bands = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    shared = saved(bands.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("m")).filter("m > 1"),
                    "shared-buckets")
-    bands = saved(maybe_in(bands, "bucket", bitmap(shared, "bucket")).join(shared, "bucket", "left_semi")
-                  .select("bucket", "node").distinct(), "bands")
+    bands = saved(maybe_in(bands, "bucket", bitmap(shared, "bucket")).join(shared, "bucket")
+                  .select("bucket", "band", "node", "lead", "m"), "bands")
     confirm = _Confirmer(docs, classes, shingle_words, percent)
-    stars = led = compared = None
-    leaders = 1
-    while True:
-        pairs, lead = _candidates(bands, stars, led, leaders)
-        if is_empty(lead):
-            break
-        if compared is not None:
-            pairs = pairs.join(compared, ["u", "v"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        links = confirm(pairs)
-        stars = components(links if stars is None else links.unionByName(stars))
-        led = lead if led is None else led.unionByName(lead)
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        leaders *= LEADERS_GROWTH
-    of = classes.select("n", "d1", "d2", F.col("node").alias("class_id"))
-    if stars is not None:
-        of = (of.join(stars.select(F.col("u").alias("class_id"), F.col("v").alias("least")), "class_id", "left")
-              .select("n", "d1", "d2", F.coalesce("least", "class_id").alias("class_id")))
+    first = bands.filter("node <> lead").select(F.col("lead").alias("u"), F.col("node").alias("v")).distinct()
+    stars = components(confirm(first))
+    rows = (bands.join(stars.select(F.col("u").alias("node"), F.col("v").alias("least")), "node", "left")
+            .select("bucket", "band", "node", "lead", "m", F.coalesce("least", "node").alias("comp")))
+    apart = rows.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b")
+    rows = saved(rows.join(apart.select("bucket"), "bucket", "left_semi").filter("m > 2"), "open-buckets")
+    pairs = _small_pairs(rows).distinct()
+    large = _large_pairs(rows, classes, confirm)
+    pairs = saved(pairs if large is None else pairs.unionByName(large).distinct(), "pairs")
+    if not is_empty(pairs):
+        stars = components(confirm(pairs).unionByName(stars))
+    of = (classes.select("n", "d1", "d2", F.col("node").alias("class_id"))
+          .join(stars.select(F.col("u").alias("class_id"), F.col("v").alias("least")), "class_id", "left")
+          .select("n", "d1", "d2", F.coalesce("least", "class_id").alias("class_id")))
     return (sketch.select("doc_id", "n", "d1", "d2").join(of, ["n", "d1", "d2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("component_id"))
