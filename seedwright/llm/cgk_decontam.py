@@ -36,8 +36,8 @@ from seedwright.llm.common import (LOWER_AZ, as_signed, mix64, saved, table, tex
                                    word_bounds, word_hashes, words_per_document)
 
 SIZES = (1, 2, 4, 8, 16, 32)
-REPEATS = 4
-SAMPLES = 4
+REPEATS = 8
+SAMPLES = 6
 KEY_BITS = 1 << 25
 LISTED_KEYS = 1_000_000
 MAX_EDITS = 0.2
@@ -194,6 +194,10 @@ def _verified(batches: Iterator[pa.RecordBatch], max_edits: float) -> Iterator[p
             if at >= 0 and around[at:at + len(item)] == item:
                 edits, end = 0, at + len(item)
             else:
+                # each word of the item that is nowhere around costs an edit
+                have = set(around)
+                if sum(w not in have for w in item) > int(max_edits * len(item)):
+                    continue
                 edits, end = best_edits(item, around)
             if edits <= int(max_edits * len(item)):
                 out.append((x["rid"], x["doc_id"], x["item"], len(item), edits, x["first"] + end))
