@@ -56,8 +56,8 @@ LOOKALIKES = str.maketrans({
     "к": "k", "м": "m", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "т": "t", "у": "y", "ѵ": "v", "ԝ": "w", "х": "x",
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u",
     "χ": "x", "ɑ": "a", "ɡ": "g", "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ħ": "h", "ß": "ss", "æ": "ae", "œ": "oe",
-    "օ": "o", "ո": "n", "ս": "u", "հ": "h", "​": None, "‌": None, "‍": None, "⁠": None,
-    "﻿": None, "­": None,
+    "օ": "o", "ո": "n", "ս": "u", "հ": "h", "\u200b": None, "\u200c": None, "\u200d": None, "\u2060": None,
+    "\ufeff": None, "\u00ad": None,
 })
 LOOKALIKES.update(dict.fromkeys(range(0x300, 0x370)))  # combining accents
 # Signs that stand for letters.

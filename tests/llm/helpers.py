@@ -33,7 +33,7 @@ def empty(spark):
 
 
 ODD = ["", None, " ", "\n\n\t", "a", "A a", "word", "é😀 ñandú  ß", "x\x0by\x0cz", "same text here twice",
-       "same text here twice", "...", "a" * 5000, "tab\tsep\r\nline", " nbsp ", "\u0000nul"]
+       "same text here twice", "...", "a" * 5000, "tab\tsep\r\nline", "\u00a0nbsp\u00a0", "\u0000nul"]
 
 
 def pseudo(rng, n, vocabulary=400):

@@ -9,7 +9,7 @@ LABELS = "doc_id long, toxic int"
 
 
 def test_fold_reaches_the_plain_word():
-    for t in ("IDIOT!", "1d10t", "іdіоt", "ｉｄｉｏｔ", "ídïot", "id!ot", "idi0t", "@ idiot", "i​diot"):
+    for t in ("IDIOT!", "1d10t", "іdіоt", "ｉｄｉｏｔ", "ídïot", "id!ot", "idi0t", "@ idiot", "i\u200bdiot"):
         assert " idiot " in fold(t), t
     assert fold("wor%%% 24") == " wor    24 "
 
