@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedwright.llm.common import (LOWER_AZ, as_signed, mix64, saved, table, text_bytes, text_slices,
-                                   word_bounds, word_hashes, words_per_document)
+                                   tidy, word_bounds, word_hashes, words_per_document)
 
 SIZES = (1, 2, 4, 8, 16, 32)
 REPEATS = 8
@@ -135,6 +135,7 @@ def _item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "offset": pa.array(offset, pa.int32()), "words": pa.array(np.full(len(key), n, np.int32))})
 
 
+@tidy
 def _hits(batches: Iterator[pa.RecordBatch], shared, longest: dict[int, int]) -> Iterator[pa.RecordBatch]:
     """Windows with a key of the benchmark, with the words around them."""
     where, listed = shared.value
@@ -185,6 +186,7 @@ def best_edits(item: list[str], around: list[str]) -> tuple[int, int]:
     return int(row[end]), end
 
 
+@tidy
 def _verified(batches: Iterator[pa.RecordBatch], max_edits: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []

@@ -7,6 +7,9 @@ done on the UTF-8 buffers that Arrow hands over: a polynomial hash modulo
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -77,6 +80,25 @@ def maybe_in(df: DataFrame, key: str, bits: DataFrame, inside: bool = True,
             .filter((found if inside else ~found) | F.expr(always)).select(*cols))
 
 
+# --------------------------------------------------------------- worker memory
+
+def tidy(f):
+    """For task functions: gives freed memory back when the task ends, as Spark
+    keeps its Python workers for later tasks of other operators."""
+    @functools.wraps(f)
+    def task(*args, **kwargs):
+        try:
+            yield from f(*args, **kwargs)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+    return task
+
+
 # ------------------------------------------------------------------- text data
 
 def text_slices(batch: pa.RecordBatch, column: str = "text",

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedwright.llm.common import mix64, scratch, table, text_slices
+from seedwright.llm.common import mix64, scratch, table, text_slices, tidy
 from seedwright.llm.segments import tokenizer
 
 CAPACITY = 2048
@@ -83,6 +83,7 @@ def curve_keys(ids: np.ndarray, off: np.ndarray) -> np.ndarray:
     return hilbert_key(grid.astype(np.int64))
 
 
+@tidy
 def _tokens(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b in text_slices(batch, max_bytes=4 << 20):
@@ -158,6 +159,7 @@ class _Packer:
         return pa.RecordBatch.from_pydict(out)
 
 
+@tidy
 def _packed(batches: Iterator[pa.RecordBatch], capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
     p = _Packer(capacity, TaskContext.get().partitionId() << 40, with_ids)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from seedwright.llm.common import mix64, span_hashes, text_bytes
 
 #: Distinct segments that a worker remembers (about 60 bytes each).
-TABLE_SEGMENTS = 1_500_000
+TABLE_SEGMENTS = 500_000
 
 #: Bytes that one hashing pass takes.
 _PASS = 1 << 20

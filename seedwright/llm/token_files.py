@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seedwright.llm.common import local_path, saved, scratch, table, text_slices
+from seedwright.llm.common import local_path, saved, scratch, table, text_slices, tidy
 from seedwright.llm.segments import tokenizer
 
 BLOCK_IDS = 1024
@@ -225,6 +225,7 @@ class ShardReader:
         return decode_words(np.frombuffer(self.f.read_at(8 * (b - a), 8 + 8 * a), "<u8"))
 
 
+@tidy
 def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path: str,
                  end_id: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
@@ -259,6 +260,7 @@ def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path:
                                           "n_ids": pa.array([writer.n_ids], pa.int64())})
 
 
+@tidy
 def _read_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedwright.llm.common import as_signed, bitmap, maybe_in, saved, table, text_slices
+from seedwright.llm.common import as_signed, bitmap, maybe_in, saved, table, text_slices, tidy
 from seedwright.llm.minmax_dedup import shingle_hashes
 
 MAX_FIT_ROWS = 20_000
@@ -43,6 +43,8 @@ REJECT_AT = 0.7
 #: Lengths of word beginnings that may enter the lexicon.
 PREFIXES = (4, 5, 6, 7, 8)
 MAX_WEIGHT = 6.0
+#: Distinct entries that a task counts before it sends them on.
+HELD_ENTRIES = 200_000
 
 # Used only where there are no labels to learn from.
 SEED_LEXICON = {" idiot": 4.0, " moron": 4.0, " stupid": 4.0, " scum": 4.0, " loser": 4.0, " worthless": 4.0,
@@ -123,6 +125,7 @@ def _curve(total: np.ndarray, words: np.ndarray, curve: tuple[float, float, floa
 
 # --------------------------------------------------------------------- fitting
 
+@tidy
 def _with_copy_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b in text_slices(batch):
@@ -135,6 +138,7 @@ def _with_copy_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                                               "copy_key": pa.array(as_signed(low))})
 
 
+@tidy
 def _count_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of each label that hold each word and word beginning."""
     counts = (Counter(), Counter())
@@ -144,7 +148,7 @@ def _count_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             entries = {f" {w} " for w in words if len(w) >= 3}
             entries.update(f" {w[:k]}" for w in words for k in PREFIXES if len(w) >= k)
             counts[toxic].update(entries)
-        if sum(map(len, counts)) > 1_000_000:
+        if sum(map(len, counts)) > HELD_ENTRIES:
             yield from _counted(counts)
             counts = (Counter(), Counter())
     yield from _counted(counts)
@@ -230,6 +234,7 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return float(w[0]), float(max(w[1], 0.0)), float(max(w[2], 0.0))
 
 
+@tidy
 def _totals(batches: Iterator[pa.RecordBatch], model: tuple) -> Iterator[pa.RecordBatch]:
     m = Matcher(*model[:2])
     for batch in batches:
@@ -289,6 +294,7 @@ def score(docs: DataFrame, model: tuple) -> DataFrame:
                     (F.col("score") >= REJECT_AT).cast("int").alias("predicted")))
 
 
+@tidy
 def _not_rejected(batches: Iterator[pa.RecordBatch], model: tuple) -> Iterator[pa.RecordBatch]:
     m = Matcher(*model[:2])
     for batch in batches:
