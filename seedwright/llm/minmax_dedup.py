@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedwright.llm.common import (as_signed, bitmap, is_empty, maybe_in, mix64, saved, table,
-                                   text_bytes, text_slices, word_bounds, word_hashes,
+                                   text_bytes, text_slices, tidy, word_bounds, word_hashes,
                                    words_per_document)
 from seedwright.llm.components import components
 
@@ -84,6 +84,7 @@ def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return [np.unique(h[a:b]) for a, b in zip(off[:-1], off[1:], strict=True)]
 
 
+@tidy
 def _sketch(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     values, per_band = 2 * PERMUTATIONS, 2 * PERMUTATIONS // BANDS
     for batch in batches:
@@ -118,6 +119,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                     pa.array(as_signed(np.ascontiguousarray(bands).reshape(-1))))})
 
 
+@tidy
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b in text_slices(batch):
@@ -129,6 +131,7 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
                 "members": pa.ListArray.from_arrays(pa.array(off), pa.array(as_signed(flat)))})
 
 
+@tidy
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
@@ -148,7 +151,7 @@ class _Confirmer:
         """The sets of these nodes, besides those at hand."""
         if self.sets is not None:
             nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
-        need = saved(nodes.distinct(), "set-nodes")
+        need = nodes.distinct()
         mine = (maybe_in(self.docs.filter("doc_id is not null"), "doc_id", bitmap(need, "node"))
                 .join(need.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"))
         made = saved(mine.mapInArrow(partial(_sets, k=self.k), "node long, members array<long>"), "sets")
@@ -218,7 +221,7 @@ def _large_pairs(rows: DataFrame, classes: DataFrame, confirm: _Confirmer) -> Da
     light = (rare.filter("apart").join(_other(rare, "comp", "n", "apart", "frequent"), "bucket")
              .filter("comp <> other_comp and (not other_apart or node < other)")
              .filter(bound < need).filter(confirm.may_link("n", "other_n")))
-    return _ordered(dense).unionByName(_ordered(light).distinct())
+    return _ordered(dense).unionByName(_ordered(light))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -246,9 +249,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
             .select("bucket", "band", "node", "lead", "m", F.coalesce("least", "node").alias("comp")))
     apart = rows.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b")
     rows = saved(rows.join(apart.select("bucket"), "bucket", "left_semi").filter("m > 2"), "open-buckets")
-    pairs = _small_pairs(rows).distinct()
+    pairs = _small_pairs(rows)
     large = _large_pairs(rows, classes, confirm)
-    pairs = saved(pairs if large is None else pairs.unionByName(large).distinct(), "pairs")
+    pairs = saved((pairs if large is None else pairs.unionByName(large)).distinct(), "pairs")
     if not is_empty(pairs):
         stars = components(confirm(pairs).unionByName(stars))
     of = (classes.select("n", "d1", "d2", F.col("node").alias("class_id"))
