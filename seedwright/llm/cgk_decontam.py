@@ -245,8 +245,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_E
     hits = saved(rows.mapInArrow(partial(_hits, shared=shared, longest=longest),
                                  "key long, rid long, doc_id long, pos long, first long, around string"), "hits")
     near = hits.join(keys, "key")
-    region = F.floor((F.col("pos") - F.col("offset")) / F.greatest("words", F.lit(8)))
-    pairs = (near.groupBy("rid", "doc_id", "item", region.alias("region"))
+    # hits at the same start carry the same stretch of the text; another start may be another copy
+    pairs = (near.groupBy("rid", "doc_id", "item", (F.col("pos") - F.col("offset")).alias("start"))
              .agg(F.min(F.struct("pos", "offset", "first", "around")).alias("x"))
              .select("rid", "doc_id", "item", "x.*")
              .join(items.select("item", F.col("item_id"), F.col("text").alias("item_text")), "item"))

@@ -45,6 +45,18 @@ def test_edited_copies_and_clean_documents(spark):
     assert not {d for d, _ in got if d >= 200}
 
 
+def test_whole_copy_after_a_part_of_it(spark):
+    r = rng(5)
+    texts, items = [], []
+    for k, n in enumerate((59, 59, 31, 47, 18)):
+        w = pseudo(r, n, 10**6)
+        items.append((k, " ".join(w)))
+        texts.append(" ".join([*w[:2 * n // 3], *pseudo(r, 5, 10**6), *w]))
+        texts.append(" ".join([*w, *pseudo(r, 5, 10**6), *w[n // 3:]]))
+    got = {(x.doc_id, x.item_id): x.edits for x in contaminated(frame(spark, texts), spark.createDataFrame(items, BENCH)).collect()}
+    assert got == {(d, d // 2): 0 for d in range(len(texts))}
+
+
 def test_odd_cases(spark):
     bench = spark.createDataFrame([(1, "same text here twice"), (1, "same text here twice"), (2, None), (3, ""), (None, "word")], BENCH)
     df = frame(spark, ODD, [None, *range(1, len(ODD))])
