@@ -4,11 +4,13 @@ The CGK walk reads a word sequence with a pointer that, at each step, stays or
 moves on by a random bit of (step, word).  Two sequences at a small edit
 distance fall back into step, so their walks agree in most places: edit distance
 becomes Hamming distance, and sampling places of the walk is a locality-
-sensitive hash.  Each item has windows of its size class (1, 2, 4, ... 32
-words); a document has windows of that size every half size, so each verbatim
-copy holds an aligned window, which hits in every repeat, and edited copies have
-several windows times ``REPEATS`` chances.  Hits carry the words around them,
-and an exact word edit distance against the whole item decides.
+sensitive hash.  Each item has windows of its size class (1, 2, 3, 4, 8 or 16
+words, a third of the item at most, from 6 words on); a document has windows of
+that size every half size, so each verbatim copy holds an aligned window, which
+hits in every repeat, and edited copies have at least four windows times
+``REPEATS`` chances: the target is a recall of 0.95 at ``MAX_EDITS`` for every
+length.  Hits carry the words around them, and an exact word edit distance
+against the whole item decides.
 
 The keys of the benchmark reach the tasks as a bitmap of fixed size
 (``KEY_BITS``), and as a sorted list while they number ``LISTED_KEYS`` at most;
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +37,10 @@ from pyspark.sql import functions as F
 from seedwright.llm.common import (LOWER_AZ, as_signed, mix64, saved, table, text_bytes, text_slices,
                                    tidy, word_bounds, word_hashes, words_per_document)
 
-SIZES = (1, 2, 4, 8, 16, 32)
+SIZES = (1, 2, 3, 4, 8, 16)
 REPEATS = 8
-SAMPLES = 6
+#: By size, as far as the walk has so many places: small windows need more, else they hit by chance.
+SAMPLES = {1: 8, 2: 8, 3: 8, 4: 8, 8: 8, 16: 6}
 KEY_BITS = 1 << 25
 LISTED_KEYS = 1_000_000
 MAX_EDITS = 0.2
@@ -48,7 +51,7 @@ _IS_PUNCT[list(_PUNCT)] = True
 _PAD = np.uint64(0x6A09E667F3BCC909)
 _RNG = np.random.default_rng(917)
 #: Places of the walk that each (size, repeat) samples.
-PLACES = {(c, r): sorted(_RNG.choice(2 * c, size=min(SAMPLES, 2 * c), replace=False).tolist())
+PLACES = {(c, r): sorted(_RNG.choice(2 * c, size=min(SAMPLES[c], 2 * c), replace=False).tolist())
           for c in SIZES for r in range(REPEATS)}
 
 
@@ -57,8 +60,9 @@ def stride(size: int) -> int:
 
 
 def size_class(words: int) -> int:
-    """The largest window such that any placement holds an aligned one."""
-    return max(c for c in SIZES if c == 1 or c + stride(c) - 1 <= words)
+    """The largest window of at most a third of the item; two words where the
+    item is shorter.  Any placement holds an aligned one."""
+    return max(c for c in SIZES if c == 1 or 3 * c <= words or c == 2 <= words)
 
 
 def _strip(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,11 +86,7 @@ _P = _PUNCT.decode()
 
 def plain_words(text: str) -> list[str]:
     """The words of a text as they are compared."""
-    out = []
-    for w in re.findall(r"[^\x20\x09-\x0D]+", text):
-        w = w.lstrip(_P) or w[-1:]
-        out.append((w.rstrip(_P) or w[:1]).translate(_FOLD))
-    return out
+    return [w.strip(_P) or w[-1:] for w in re.findall(r"[^\x20\x09-\x0D]+", text.translate(_FOLD))]
 
 
 class _Text:
@@ -188,10 +188,11 @@ def best_edits(item: list[str], around: list[str]) -> tuple[int, int]:
 
 @tidy
 def _verified(batches: Iterator[pa.RecordBatch], max_edits: float) -> Iterator[pa.RecordBatch]:
+    item_words = lru_cache(1024)(plain_words)
     for batch in batches:
         out = []
         for x in batch.to_pylist():
-            item, around = plain_words(x["item_text"]), plain_words(x["around"])
+            item, around = item_words(x["item_text"]), plain_words(x["around"])
             at = x["pos"] - x["offset"] - x["first"]
             if at >= 0 and around[at:at + len(item)] == item:
                 edits, end = 0, at + len(item)

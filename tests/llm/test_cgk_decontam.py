@@ -57,6 +57,19 @@ def test_whole_copy_after_a_part_of_it(spark):
     assert got == {(d, d // 2): 0 for d in range(len(texts))}
 
 
+def test_recall_at_every_length(spark):
+    r = rng(6)
+    lengths = (5, 6, 8, 9, 11, 12, 15, 20, 23, 24, 30, 36, 46, 47, 50, 59, 62, 96)
+    items = [(n, " ".join(pseudo(r, n, 10**6))) for n in lengths]
+    for rate, least in ((0.1, 0.99), (0.2, 0.95)):
+        texts = [" ".join([*pseudo(r, r.randrange(50), 10**6), *edited(r, t.split(), rate), *pseudo(r, 20, 10**6)])
+                 for _, t in items for _ in range(60)]
+        got = {(x.doc_id, x.item_id) for x in contaminated(frame(spark, texts), spark.createDataFrame(items, BENCH)).collect()}
+        found = {n: sum((60 * k + j, n) in got for j in range(60)) / 60 for k, n in enumerate(lengths)}
+        print(rate, found)
+        assert not {n: v for n, v in found.items() if v < least}
+
+
 def test_odd_cases(spark):
     bench = spark.createDataFrame([(1, "same text here twice"), (1, "same text here twice"), (2, None), (3, ""), (None, "word")], BENCH)
     df = frame(spark, ODD, [None, *range(1, len(ODD))])
