@@ -41,7 +41,7 @@ BASE_PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 ADDED_PATTERNS = {
-    "secret": rf"(?i)(?<![a-z0-9_])(?:(?:{_SECRET_NAMES})\x20?[=:]\x20?[\"']?[^\x20\x09-\x0D\"',;]{{6,200}}"
+    "secret": rf"(?i)(?<![a-z0-9_])(?:(?:{_SECRET_NAMES})\x20?[=:]\x20?[\"']?[^\x20\x09-\x0D\"',;]{{6,}}+"
               r"|AKIA[0-9A-Z]{16}(?![0-9A-Z]))",
     "local_phone": r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",

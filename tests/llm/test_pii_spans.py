@@ -63,6 +63,13 @@ def test_added_spans_and_redaction(spark):
     assert redact(df, model).columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_long_secrets_go_whole(spark):
+    values = ["eyJ" + "aB3_-." * n + "z9" for n in (1, 34, 200, 20000)]
+    df = frame(spark, [f"the token={v} was leaked" for v in values] + ["token=" + "x" * 300 + ";rest"])
+    assert [x.spans for x in find(df, NEUTRAL).orderBy("doc_id").collect()][:4] == [f"secret:4:{10 + len(v)}" for v in values]
+    assert [x.text for x in redact(df, NEUTRAL).orderBy("doc_id").collect()] == ["the [SECRET] was leaked"] * 4 + ["[SECRET];rest"]
+
+
 def test_odd_cases(spark):
     df = frame(spark, HARD, [None, 1, 1, *range(3, len(HARD))])
     assert redact(df, NEUTRAL).count() == len(HARD) == find(df, fit(df)).count()
