@@ -2,18 +2,19 @@
 
 When no piece of a model has a whitespace marker behind another character, no
 merge reaches over the place before a blank, so a text falls into marked words
-that are segmented on their own.  The job segments each distinct one once:
+that are segmented on their own.  A task keeps a table of the distinct ones it
+has met: each is segmented and decoded by the library once, whichever batch it
+comes in, and a document gathers its ids, and the text they decode to, by the
+positions of its words.  The table is emptied when it holds ``TABLE_WORDS``
+words or ``TABLE_BYTES`` bytes of them, so memory does not grow with the corpus.
+Nothing is shuffled.
 
-1. a block of documents (8 MB of text) becomes a list of its distinct words
-   and, for each document, the numbers of its words in order; both are written;
-2. the words of all blocks are made distinct, segmented by the library and
-   decoded by it, one row per word of the corpus;
-3. words and results are joined, go back to their blocks, and each document
-   gathers its ids by position.
+A table over all tasks (distinct words made by a shuffle, joined back by block
+and position) was built first: a fifteenth of all words is distinct here, and
+the joins wrote five times the input to disk.
 
-A word moves once per block that holds it, however often it occurs there; a
-task holds one block's words.  A model whose pieces may cross a marker, or that
-changes its input, gets whole texts as words: slower, and as exact.
+A model whose pieces may cross a marker, or that changes its input, gets whole
+texts as words: slower, and as exact.
 
 Defined cases: null and empty texts have the end id only and decode to the
 empty string; rows that repeat, or lack a doc_id, are encoded one by one; an
@@ -24,21 +25,21 @@ from __future__ import annotations
 
 import hashlib
 import sys
-import uuid
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedwright.llm.common import saved, table, text_bytes, text_slices, tidy
+from seedwright.llm.common import table, text_bytes, text_slices, tidy
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
-BLOCK_BYTES = 8 << 20
+#: Text of one pass over the table.
+PASS_BYTES = 8 << 20
+TABLE_WORDS = 500_000
+TABLE_BYTES = 32 << 20
 MARK = "▁"
 _MARK_BYTES = np.frombuffer(MARK.encode(), np.uint8)
 
@@ -108,130 +109,72 @@ def marked_words(texts: pa.Array, cuts: bool) -> tuple[pa.Array, np.ndarray]:
     return words, np.searchsorted(starts, t_off)
 
 
-def _shrunk(codes: np.ndarray) -> bytes:
-    """Numbers as four planes of bytes, compressed."""
-    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+class ChunkTable:
+    """Distinct words with their number of ids, ids and decoded text."""
 
+    def __init__(self, model: Pieces, digest: bool, words: int = TABLE_WORDS, size: int = TABLE_BYTES):
+        self.model, self.digest, self.words, self.size = model, digest, words, size
+        self._empty()
 
-def _codes(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
+    def _empty(self) -> None:
+        self.slot: dict[bytes, int] = {}
+        self.held = 0
+        self.n: list[int] = []
+        self.ids: list = []  # decimals joined by blanks, or lists
+        self.decoded: list[bytes] = []
 
-
-_CODED = pa.schema([("block", pa.int64()), ("slot", pa.int32()), ("word", pa.binary()),
-                    ("doc_id", pa.int64()), ("codes", pa.binary())])
-
-
-def _rows(n: int, **cols) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(n, f.type) for f in _CODED], schema=_CODED)
-
-
-def _block(parts: list[pa.RecordBatch], cuts: bool) -> Iterator[pa.RecordBatch]:
-    batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-    words, off = marked_words(batch.column("text"), cuts)
-    coded = words.dictionary_encode()
-    code = coded.indices.to_numpy(zero_copy_only=False)
-    # frequent words get small numbers, which shrink better
-    k = len(coded.dictionary)
-    order = np.argsort(-np.bincount(code, minlength=k), kind="stable")
-    slot = np.empty(k, np.int64)
-    slot[order] = np.arange(k)
-    code = slot[code]
-    name = uuid.uuid4().int >> 65
-    n = batch.num_rows
-    bounds = off.tolist()
-    yield _rows(n, block=pa.array(np.full(n, name)), doc_id=batch.column("doc_id"),
-                codes=pa.array([_shrunk(code[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary()))
-    words = coded.dictionary.take(pa.array(order))
-    at = 0
-    for part in text_slices(pa.RecordBatch.from_arrays([words], ["text"])):
-        m = part.num_rows
-        yield _rows(m, block=pa.array(np.full(m, name)), slot=pa.array(np.arange(at, at + m, dtype=np.int32)),
-                    word=part.column(0).cast(pa.binary()))
-        at += m
-
-
-@tidy
-def _blocks(batches: Iterator[pa.RecordBatch], model: str, block_bytes: int) -> Iterator[pa.RecordBatch]:
-    cuts = pieces(model).cuts
-    held, size = [], 0
-    for batch in batches:
-        for b in text_slices(batch):
-            held.append(b)
-            size += pc.sum(pc.fill_null(pc.binary_length(b.column("text")), 0)).as_py()
-            if size >= block_bytes:
-                yield from _block(held, cuts)
-                held, size = [], 0
-    if held:
-        yield from _block(held, cuts)
+    def slots(self, words: list[bytes]) -> list[int]:
+        """Places of distinct words; what is new is segmented."""
+        if len(self.slot) >= self.words or self.held >= self.size:
+            self._empty()
+        new = [w for w in words if w not in self.slot]
+        ids = self.model.encode([w.decode() for w in new])
+        self.slot.update(zip(new, range(len(self.n), len(self.n) + len(new)), strict=True))
+        self.held += sum(map(len, new))
+        self.n += map(len, ids)
+        self.decoded += (t.encode() for t in self.model.decode(ids))
+        self.ids += ((" ".join(map(str, x)).encode() for x in ids) if self.digest else ids)
+        return list(map(self.slot.__getitem__, words))
 
 
 @tidy
-def _segment(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], model: str, digest: bool) -> Iterator[pa.RecordBatch]:
     p = pieces(model)
+    known = ChunkTable(p, digest)
+    end = b"%d" % p.eos
     for batch in batches:
-        words = [w.decode() for w in batch.column("word").to_pylist()]
-        ids = p.encode(words)
-        yield pa.RecordBatch.from_pydict({
-            "word": batch.column("word"), "ids": pa.array(ids, pa.list_(pa.int32())),
-            "decoded": pa.array([t.encode() for t in p.decode(ids)], pa.binary())})
-
-
-@tidy
-def _gather(batches: Iterator[pa.RecordBatch], eos: int, digest: bool) -> Iterator[pa.RecordBatch]:
-    """A block's words come first, by slot, then its documents."""
-    block, ids, size, decoded = None, [], [], []
-    for batch in batches:
-        out = []
-        for name, slot, doc_id, codes, word_ids, text in zip(*(batch.column(c).to_pylist() for c in (
-                "block", "slot", "doc_id", "codes", "ids", "decoded")), strict=True):
-            if name != block:
-                block, ids, size, decoded = name, [], [], []
-            if slot is not None:
-                ids.append(" ".join(map(str, word_ids)).encode() if digest else word_ids)
-                size.append(len(word_ids))
-                decoded.append(text)
-                continue
-            at = _codes(codes).tolist()
-            n = 1 + sum(map(size.__getitem__, at))
-            text = b" ".join(map(decoded.__getitem__, at))
-            if digest:
-                line = b" ".join([*map(ids.__getitem__, at), b"%d" % eos])
-                out.append((doc_id, n, hashlib.sha256(line).hexdigest(), hashlib.sha256(text).hexdigest()))
-            else:
-                out.append((doc_id, n, [i for k in at for i in ids[k]] + [eos], text.decode()))
-        if out:
-            a, b = ("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded")
-            kinds = (pa.string(), pa.string()) if digest else (pa.list_(pa.int32()), pa.string())
-            cols = list(zip(*out, strict=True))
+        for b in text_slices(batch, max_bytes=PASS_BYTES):
+            words, off = marked_words(b.column("text"), p.cuts)
+            coded = words.dictionary_encode()
+            slot = np.array(known.slots(coded.dictionary.to_pylist()), np.int64)
+            at = slot[coded.indices.to_numpy(zero_copy_only=False)] if len(slot) else slot
+            n, ids, text = [], [], []
+            for lo, hi in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+                mine = at[lo:hi].tolist()
+                n.append(1 + sum(map(known.n.__getitem__, mine)))
+                body = b" ".join(map(known.decoded.__getitem__, mine))
+                if digest:
+                    line = b" ".join([*map(known.ids.__getitem__, mine), end])
+                    ids.append(hashlib.sha256(line).hexdigest())
+                    text.append(hashlib.sha256(body).hexdigest())
+                else:
+                    ids.append([i for k in mine for i in known.ids[k]] + [p.eos])
+                    text.append(body.decode())
+            a, t = ("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded")
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(cols[0], pa.int64()), "n_tokens": pa.array(cols[1], pa.int64()),
-                a: pa.array(cols[2], kinds[0]), b: pa.array(cols[3], kinds[1])})
+                "doc_id": b.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
+                a: pa.array(ids, pa.string() if digest else pa.list_(pa.int32())), t: pa.array(text, pa.string())})
 
 
-def encode(docs: DataFrame, model: str, digest: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, model: str, digest: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every row: the library's ids of the
     whole text and the end id, and the text that they decode to.  With
-    ``digest`` the sha256 of the ids' decimals and of the decoded text stand in
-    their places."""
-    p = pieces(model)
-    rows = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                 .mapInArrow(partial(_blocks, model=model, block_bytes=block_bytes),
-                             "block long, slot int, word binary, doc_id long, codes binary"), "coded")
-    words = rows.filter("slot is not null").select("block", "slot", "word")
-    table_ = saved(words.select("word").distinct()
-                   .mapInArrow(partial(_segment, model=model), "word binary, ids array<int>, decoded binary"), "chunk-table")
-    found = words.join(table_, "word").select("block", "slot", F.lit(None).cast("long").alias("doc_id"),
-                                              F.lit(None).cast("binary").alias("codes"), "ids", "decoded")
-    texts = rows.filter("slot is null").select("block", "slot", "doc_id", "codes",
-                                               F.lit(None).cast("array<int>").alias("ids"),
-                                               F.lit(None).cast("binary").alias("decoded"))
+    ``digest`` (doc_id, n_tokens, ids_sha256, decoded_sha256): the sha256 of the
+    ids' decimals joined by blanks and of the decoded text."""
     out = ("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digest
            else "doc_id long, n_tokens long, ids array<int>, decoded string")
-    return (found.unionByName(texts).repartition("block")
-            .sortWithinPartitions("block", F.col("slot").asc_nulls_last())
-            .mapInArrow(partial(_gather, eos=p.eos, digest=digest), out))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .mapInArrow(partial(_encode, model=model, digest=digest), out))
 
 
 def op13_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 import sentencepiece
 from helpers import ODD, SF, empty, frame, pseudo, rng
 
-from seedwright.llm.chunk_pieces import (DEFAULT_MODEL, _codes, _shrunk, encode, marked_words,
+from seedwright.llm.chunk_pieces import (DEFAULT_MODEL, ChunkTable, encode, marked_words,
                                          op13_chunk_pieces, pieces)
 from seedwright.llm.common import table
 
@@ -29,9 +29,8 @@ def test_words_joined_by_a_blank_are_the_text(cuts):
     assert off[1] == off[0] == off[2] and (cuts or len(words) == 7)
 
 
-@pytest.mark.parametrize("block_bytes", [10, 8 << 20])
-def test_equals_library(spark, block_bytes):
-    r = rng(block_bytes)
+def test_equals_library(spark):
+    r = rng(13)
     texts = ODD + MARKS + [(" " * r.randrange(1, 4)).join(pseudo(r, 50)) for _ in range(30)] + ["same words again"] * 20
     ids = [None if i % 9 == 0 else i // 2 for i in range(len(texts))]
     sp = library()
@@ -39,7 +38,7 @@ def test_equals_library(spark, block_bytes):
     for i, t in zip(ids, texts, strict=True):
         x = sp.encode(t or "") + [sp.eos_id()]
         want.append(str((i, len(x), x, sp.decode(x))))
-    rows = encode(frame(spark, texts, ids).repartition(4), MODEL, block_bytes=block_bytes).collect()
+    rows = encode(frame(spark, texts, ids).repartition(4), MODEL).collect()
     assert sorted(str((x.doc_id, x.n_tokens, list(x.ids), x.decoded)) for x in rows) == sorted(want)
 
 
@@ -51,10 +50,17 @@ def test_model_that_may_not_be_cut(spark, monkeypatch):
     assert p.encode(["", "a b"]) == [sp.encode(""), sp.encode("a b")]
 
 
-def test_codes_round_trip():
-    import numpy as np
-    for x in ([], [0], [5, 70_000, 1 << 30, 0]):
-        assert _codes(_shrunk(np.array(x, np.int64))).tolist() == x
+def test_table_segments_each_word_once_and_stays_bounded(monkeypatch):
+    p = pieces(MODEL)
+    seen = []
+    plain = p.encode
+    monkeypatch.setattr(p, "encode", lambda words: seen.extend(words) or plain(words))
+    t = ChunkTable(p, False, words=5)
+    assert t.slots([b"a", b"b", b""]) == [0, 1, 2] and t.slots([b"b", b"c", b"d"]) == [1, 3, 4]
+    assert seen == ["a", "b", "", "c", "d"]
+    assert t.slots([b"d", b"a"]) == [0, 1] and len(t.slot) == 2  # full before, so emptied
+    assert [t.ids[0], t.decoded[0]] == [library().encode("d"), b"d"]
+    assert len(ChunkTable(p, True, size=3).slots([b"abcd", b"e"])) == 2
 
 
 def test_query_equals_library(spark):
