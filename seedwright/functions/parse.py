@@ -50,7 +50,8 @@ def sql_clean_reply(e: str) -> str:
 
 def pair_blocks(reply: Column) -> Column:
     """All non-blank blocks of a reply, parsed, with a per-block status:
-    ``parsed``, ``missing_marker`` (the reference logs these) or ``empty``."""
+    ``parsed``, ``missing_marker`` (the reference logs these) or ``empty``; a
+    block that did not parse keeps its text."""
     blocks = F.filter(F.split(clean_reply(reply), BLOCK_SPLIT_RE),
                       lambda b: py_strip(b) != "")
 
@@ -63,7 +64,8 @@ def pair_blocks(reply: Column) -> Column:
                   .otherwise(F.lit("parsed")))
         return F.struct(i.cast("bigint").alias("block_pos"),
                         ins.alias("instruction"), ans.alias("answer"),
-                        status.alias("status"))
+                        status.alias("status"),
+                        F.when(status != "parsed", b).alias("failed_text"))
 
     return F.transform(blocks, one)
 
@@ -104,13 +106,12 @@ def sql_normalise_modified(e: str) -> str:
     return sql_strip(f"regexp_replace({t}, '\\n+', chr(10), 'g')")
 
 
-def modified_pair(reply: Column, mcq_fallback: str = "parity",
+def modified_pair(reply: Column, mcq_fallback: str = "full",
                   normalised: Column | None = None) -> Column:
     """Editor reply -> struct(instruction, answer) or null.
 
-    ``mcq_fallback``: ``parity`` (reference: lazy choices, answer = choices),
-    ``full`` (all choice lines, answer left null so the row is dropped) or
-    ``off``.
+    ``mcq_fallback``: ``full`` (all choice lines, answer left null so the row is
+    dropped), ``parity`` (reference: lazy choices, answer = choices) or ``off``.
     """
     t = normalise_modified(reply) if normalised is None else normalised
     ins = py_strip(F.regexp_extract(t, MOD_INSTR_RE, 1))

@@ -1,9 +1,11 @@
 """Per-chunk agent sampling (G1, G2, I1) without a shuffle.
 
-Each task's usable agents become one small array, joined on ``task``.  Per chunk row, the array is ordered by
-``md5(seed|task|chunk_id|salt|name)`` and the first ``k`` kept: a uniform
-draw without replacement that is the same on every rerun and every retried
-task.  Debug mode keeps the first agent of the file.
+Each task's usable agents become one small array, joined on ``task``.  Per chunk
+row, positions in the array are ordered by ``md5(seed|task|chunk_id|salt|name)``
+and the first ``k`` kept: a uniform draw without replacement that is the same on
+every rerun and every retried task.  Debug mode keeps the first agent of the
+file.  Rows carry an agent's position and key; its prompts are joined where a
+request is made.
 """
 
 from __future__ import annotations
@@ -13,13 +15,43 @@ from pyspark.sql import functions as F
 
 from ..sources.catalog import Catalog
 
+#: Most agents of a catalogue that is broadcast; a larger one is dealt over
+#: ``SALTS`` parts of the chunks.
+MAX_AGENTS = 20_000
+SALTS = 64
+
+
+def join_catalog(rows: DataFrame, small: DataFrame, on: list[str], catalog: Catalog) -> DataFrame:
+    """Inner join with a table made from the catalogue.  It is broadcast up to
+    ``MAX_AGENTS`` agents; beyond, its rows are repeated for each part of
+    ``rows``, so one task's chunks do not meet in one place."""
+    if catalog.n_agents <= MAX_AGENTS:
+        return rows.join(F.broadcast(small), on)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
+    return (salted.join(small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long")),
+                        [*on, "_salt"]).drop("_salt"))
+
+
+def usable_agents(catalog: Catalog, stage: str) -> DataFrame:
+    """(task, agent_pos, name, agent_key, system_prompt, template[, one-shot]) of
+    the agents that can be drawn.  ``agent_key`` stands for all that an agent
+    puts into a prompt."""
+    a = catalog.agents.filter((F.col("stage") == stage) & (F.size("unresolved") == 0) & ~F.col("escaped_braces"))
+    a = a.select("task", "agent_pos", "name", "system_prompt", "template")
+    parts = ["system_prompt", "template"]
+    if stage == "instruction":
+        shots = catalog.one_shots.select("task", F.col("instruction").alias("shot_instruction"),
+                                         F.col("answer").alias("shot_answer"))
+        a = a.join(shots, "task", "left")
+        parts += ["shot_instruction", "shot_answer"]
+    whole = F.concat_ws("\u0001", *[F.coalesce(F.col(c), F.lit("\u0002")) for c in parts])
+    return a.withColumn("agent_key", F.md5(whole))
+
 
 def agent_arrays(catalog: Catalog, stage: str) -> DataFrame:
-    """task -> array of usable agents (one row per task)."""
-    usable = catalog.agents.filter((F.col("stage") == stage) & (F.size("unresolved") == 0)
-                                   & ~F.col("escaped_braces"))
-    return usable.groupBy("task").agg(
-        F.collect_list(F.struct("agent_pos", "name", "system_prompt", "template")).alias("_agents"))
+    """task -> array of usable agents, in file order (one row per task)."""
+    return usable_agents(catalog, stage).groupBy("task").agg(
+        F.array_sort(F.collect_list(F.struct("agent_pos", "name", "agent_key"))).alias("_agents"))
 
 
 def draw_key(seed: int | str, task: Column, chunk_id: Column, salt: str, name: Column) -> Column:
@@ -29,21 +61,34 @@ def draw_key(seed: int | str, task: Column, chunk_id: Column, salt: str, name: C
 
 def sample_agents(chunks: DataFrame, catalog: Catalog, stage: str, k: int = 3,
                   seed: int | str = 0, debug: bool = False, out: str = "sampled") -> DataFrame:
-    """Adds ``out``: array<struct<agent_pos,name,system_prompt,template>> with
-    min(k, n) agents in draw order.  Chunks need ``task`` and ``chunk_id``."""
-    arrays = agent_arrays(catalog, stage)  # <= number of tasks rows
-    joined = chunks.join(arrays, "task")
+    """Adds ``out``: array<struct<agent_pos,name,agent_key>> with min(k, n) agents
+    in draw order.  Chunks need ``task`` and ``chunk_id``."""
+    joined = join_catalog(chunks, agent_arrays(catalog, stage), ["task"], catalog)
     if debug:
-        ordered = F.array_sort(F.col("_agents"))  # agent_pos first -> file order
-        pick = F.slice(ordered, 1, 1)
+        pick = F.slice(F.col("_agents"), 1, 1)  # file order
     else:
-        keyed = F.transform(F.col("_agents"), lambda a: F.struct(
-            draw_key(seed, F.col("task"), F.col("chunk_id"), stage, a["name"]).alias("k"),
-            a.alias("a")))
-        pick = F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: s["a"])
+        keyed = F.transform(F.col("_agents"), lambda a, i: F.struct(
+            draw_key(seed, F.col("task"), F.col("chunk_id"), stage, a["name"]).alias("k"), i.alias("i")))
+        pick = F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: F.get("_agents", s["i"]))
     return joined.withColumn(out, pick).drop("_agents")
 
 
+def drawn_agents(chunks: DataFrame, catalog: Catalog, stage: str, k: int, seed: int | str,
+                 debug: bool, pos: str, name: str) -> DataFrame:
+    """One row per chunk row and drawn agent: ``pos`` (order of the draw),
+    ``name``, ``agent_pos`` and ``agent_key``."""
+    s = sample_agents(chunks, catalog, stage, k, seed, debug, "_drawn")
+    return (s.select(*chunks.columns, F.posexplode("_drawn").alias("_p", "_a"))
+            .select(*chunks.columns, F.col("_p").cast("int").alias(pos), F.col("_a.name").alias(name),
+                    F.col("_a.agent_pos").alias("agent_pos"), F.col("_a.agent_key").alias("agent_key")))
+
+
+def agent_prompts(rows: DataFrame, catalog: Catalog, stage: str) -> DataFrame:
+    """Rows with their agent's prompts: system_prompt, template and, for
+    instructions, the task's one-shot example."""
+    return join_catalog(rows, usable_agents(catalog, stage).drop("name", "agent_key"), ["task", "agent_pos"], catalog)
+
+
 def sql_sample(chunks_sql: str, agents_sql: str, stage: str, k: int, seed, pos: str,
                per_row: list[str] | None = None) -> str:
     """DuckDB twin: join + row_number over the same md5 key, top k per input

@@ -56,12 +56,14 @@ def join_back(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
 # Grouped exclusive prefix sums (C5 dense index, C3 slice starts)
 # ---------------------------------------------------------------------------
 
-def grouped_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                   value_col: str, out: str, partitions: int | None = None) -> DataFrame:
+def grouped_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str], value_col: str,
+                   out: str, partitions: int | None = None, lean: bool = False) -> DataFrame:
     """Adds ``out`` = sum of ``value_col`` over earlier rows of the same group
     in ``order_cols`` order.  ``order_cols`` must start with ``group_cols``
-    and be unique per row."""
-    r = ranged(df.select(*order_cols, F.coalesce(F.col(value_col), F.lit(0)).cast("long").alias("_v")),
+    and be unique per row, or ``df`` be ``lean``: keys and numbers only, which
+    travel with the order, so that nothing is joined back."""
+    carried = [c for c in df.columns if c not in order_cols and c != out] if lean else []
+    r = ranged(df.select(*order_cols, *carried, F.coalesce(F.col(value_col), F.lit(0)).cast("long").alias("_v")),
                order_cols, partitions)
     inside = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols) \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -70,17 +72,20 @@ def grouped_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str],
     totals = r.groupBy("_pid", *group_cols).agg(F.sum("_v").alias("_t"))
     earlier = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_base", F.coalesce(F.sum("_t").over(earlier), F.lit(0))).drop("_t")
-    placed = join_back(local, offsets, ["_pid", *group_cols]) \
-        .select(*order_cols, (F.col("_before") + F.col("_base")).alias(out))
-    return join_back(df, placed, order_cols)
+    placed = join_back(local, offsets, ["_pid", *group_cols])
+    at = (F.col("_before") + F.col("_base")).alias(out)
+    if lean:
+        return placed.select(*[c for c in df.columns if c != out], at)
+    return join_back(df, placed.select(*order_cols, at), order_cols)
 
 
 def dense_index(df: DataFrame, order_cols: list[str], out: str = "chunk_id",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, lean: bool = False) -> DataFrame:
     """``row_number() over (order by order_cols) - 1`` without a single-task
-    window: per-partition counts, offsets, local positions."""
+    window: per-partition counts, offsets, local positions.  ``lean`` as in
+    ``grouped_prefix``."""
     return (grouped_prefix(df.withColumn("_one", F.lit(1).cast("long")), [], order_cols,
-                           "_one", out, partitions).drop("_one"))
+                           "_one", out, partitions, lean).drop("_one"))
 
 
 # ---------------------------------------------------------------------------

@@ -1,36 +1,55 @@
 """Completion as a table operation.
 
-A stage hands its requests to a *completer* and gets a reply column back:
+A stage hands its rows and their ``Prompt`` to a *completer* and gets a reply
+column back.  Rows are keys and small columns; a prompt's texts are joined only
+where it is made.
 
 * ``ColumnCompleter`` - the reply is a Column expression.  Stays inside the
   same lazy plan (whole-stage codegen, no Python).  ``OfflineCompleter`` is
   the deterministic one used by tests, the SQL oracle and the benchmark.
-* ``BatchCompleter`` - the user's own model client as a pandas function.
-  Requests are de-duplicated by ``request_id = md5(model, system, user)``,
-  the ones without an answer in the response store are spread over as many
+* ``BatchCompleter`` - the user's own model client as a pandas function, and
+  ``CallCompleter`` - as a function of one prompt, with a window of calls in
+  flight in each task.  Requests are de-duplicated by ``request_id``, a digest
+  of the model and of what the prompt depends on; the ones without an answer in
+  the response store (``operators.responses``) are rendered, spread over as many
   tasks as their number asks for and sent through ``mapInPandas``; replies are
-  appended to the store that the user names and read back.  A rerun with that
-  store never calls the model twice for an answered request, and retries are
-  rounds over the still-unanswered remainder.
+  appended to the store that the user names and joined back.  A rerun with that
+  store never calls the model twice for an answered request.
 """
 
 from __future__ import annotations
 
+import heapq
+import random
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.prompts import EDITOR_MARKER, INSTRUCTION_MARKER, SUGGESTER_MARKER
+from ..functions.prompts import (EDITOR_MARKER, INSTRUCTION_MARKER, ONE_SHOT_BLOCK, SELF_CONTAINED,
+                                 SUGGESTER_MARKER)
 from ..functions.text import py_strip, sql_str, sql_strip
 from ..session import written
+from .responses import REPLY_SCHEMA, ResponseStore
 
 
-def request_id(model: str, system: Column, user: Column) -> Column:
-    return F.md5(F.concat_ws("\u0001", F.lit(model), system, user))
+@dataclass
+class Prompt:
+    """How the prompts of a wave are made.  ``identity``: string columns of its
+    rows that a prompt depends on, with keys for texts.  ``render``: rows with
+    ``system_prompt`` and ``user_prompt`` in the place of nothing else."""
+    identity: list[Column]
+    render: Callable[[DataFrame], DataFrame]
+
+
+def request_id(model: str, *identity: Column) -> Column:
+    """Digest of the model and what a prompt depends on; nulls count."""
+    parts = [F.coalesce(c, F.lit("\u0002")) for c in identity]
+    return F.md5(F.concat_ws("\u0001", F.lit(model), *parts))
 
 
 class ColumnCompleter:
@@ -44,16 +63,27 @@ class ColumnCompleter:
                  wave: str = "wave") -> DataFrame:
         return df.withColumn(out, self.fn(F.col(system), F.col(user)))
 
+    def ask(self, rows: DataFrame, prompt: Prompt, out: str, wave: str = "wave") -> DataFrame:
+        """Rows with the reply to their prompt in column ``out``."""
+        r = self.complete(prompt.render(rows), "system_prompt", "user_prompt", out, wave)
+        return r.drop("system_prompt", "user_prompt")
+
 
 # ---------------------------------------------------------------------------
 # Offline completer: a stand-in model whose reply depends only on the prompt.
 # It reads the prompt kind from fixed markers, as a model would, and picks a
 # reply shape from the first hex digit of md5(system \x01 user).  The shapes
-# cover every branch of the filters and parsers.
+# cover every branch of the filters and parsers; some carry the prompt's own
+# text, so that parsers and later prompts meet whole documents:
+#   PROMPT  the whole prompt
+#   BODY    what the prompt is about: the agent's text with the content, or the
+#           instruction that is to be refined
+#   ANSWER  the answer that is to be refined
 # ---------------------------------------------------------------------------
 
 def _reply_spec():
-    """(kind, digit set, parts) where parts are literals or (start, len) of h."""
+    """(kind, digit set, parts) where parts are literals, (start, len) of h or
+    a name of a part of the prompt."""
     return {
         "edit": [
             ("0", None),
@@ -63,12 +93,17 @@ def _reply_spec():
             ("3", ["modified instruction: lower-case ", (3, 6), "\nmodified answer: none"]),
             ("4", ["Modified Answer: Refined answer ", (3, 8),
                    "\nModified Instruction: Refined question ", (11, 8)]),
+            ("5", ["**Modified Instruction:**\r\n\r\n", "BODY", "\r\n\r\n\r\n**Modified Answer:**\n",
+                   "ANSWER"]),
+            ("6", ["Modified Instruction: ", "BODY", "\nA) ", (9, 3), "\nB) ", (12, 3),
+                   "\nNo answer section."]),
             ("*", ["**Modified Instruction:**\r\n\r\nRefined question ", (3, 8),
                    " with more_detail.\r\n\r\n\r\n**Modified Answer:**\nRefined answer ",
                    (11, 8), "."]),
         ],
         "suggest": [
             ("0", None),
+            ("12", ["1. Sharpen this: ", "BODY", "\n2. Add constraint ", (2, 6), "."]),
             ("*", ["1. Sharpen point ", (2, 6), ".\n2. Add one constraint."]),
         ],
         "instruct": [
@@ -77,13 +112,13 @@ def _reply_spec():
             ("2", ["IRRELEVANT."]),
             ("3", None),
             ("456", ["Sure, here is one.\nInstruction: Describe passage ", (5, 6),
-                     " in one sentence.\nAnswer: It covers topic ", (11, 6), "."]),
+                     " in one sentence.\nAnswer: It reads: ", "BODY"]),
             ("7", ["**Instruction:** Which code names passage ", (5, 4), "?\nA) ", (9, 4),
                    "\nB) ", (13, 4), "\nC) ", (17, 4), "\nD) ", (21, 4),
                    "\n**Answer:** B) ", (13, 4)]),
-            ("8", ["Instruction: Choose the tag of item ", (5, 4), ".\nChoices:\nA) ", (9, 4),
+            ("8", ["Instruction: Choose the tag of this item.\n", "BODY", "\nChoices:\nA) ", (9, 4),
                    "\nB) ", (13, 4), "\nC) ", (17, 4), "\nAnswer: C) ", (17, 4)]),
-            ("9a", ["```text\nInstruction: Summarise item ", (5, 6), "\nanswer: Item ",
+            ("9a", ["```text\nInstruction: Summarise: ", "BODY", "\nanswer: Item ",
                     (11, 6), " in brief.\n```"]),
             ("b", ["Instruction: What is the answer: ", (5, 4), "?\nAnswer: ", (9, 4)]),
             ("c", ["Instruction: First task use_snake_case ", (5, 6), "\nAnswer: First result ",
@@ -104,13 +139,54 @@ def _reply_spec():
     }
 
 
-def _sql_parts(parts, h: str, user: str) -> str:
+#: Where the parts of a prompt stand: by kind, (text before, text after) in turn.
+_BODY_AT = {
+    "edit": [("Original instruction:\n", "\n\nOriginal answer:\n")],
+    "suggest": [("Original instruction:\n", "\n\nOriginal answer:\n")],
+    "instruct": [(None, "\n\n" + SELF_CONTAINED), (None, "\n\n" + ONE_SHOT_BLOCK.split("{", 1)[0])],
+}
+_ANSWER_AT = [("\n\nOriginal answer:\n", "\n\nSuggestions:\n")]
+_TEXT_PARTS = ("PROMPT", "BODY", "ANSWER")
+
+
+def _between(user: Column, cuts) -> Column:
+    for before, after in cuts:
+        if before is not None:
+            user = F.split_part(user, F.lit(before), F.lit(2))
+        user = F.split_part(user, F.lit(after), F.lit(1))
+    return user
+
+
+def _sql_between(user: str, cuts) -> str:
+    for before, after in cuts:
+        if before is not None:
+            user = f"split_part({user}, {sql_str(before)}, 2)"
+        user = f"split_part({user}, {sql_str(after)}, 1)"
+    return user
+
+
+def _text_part(name: str, user: Column, kind: Column) -> Column:
+    if name == "PROMPT":
+        return user
+    if name == "ANSWER":
+        return _between(user, _ANSWER_AT)
+    out = F.lit("")
+    for k, cuts in _BODY_AT.items():
+        out = F.when(kind == k, _between(user, cuts)).otherwise(out)
+    return out
+
+
+def _sql_parts(kind: str, parts, h: str, user: str) -> str:
     out = []
     for p in parts:
         if isinstance(p, tuple):
             out.append(f"substr({h}, {p[0]}, {p[1]})")
         elif p == "PROMPT":
             out.append(user)
+        elif p == "BODY":
+            out.append(_sql_between(user, _BODY_AT[kind]))
+        elif p == "ANSWER":
+            out.append(_sql_between(user, _ANSWER_AT))
         else:
             out.append(sql_str(p))
     return "(" + " || ".join(out) + ")"
@@ -134,8 +210,8 @@ _NULL = "\u0004"
 
 
 def _token(p) -> str:
-    if p == "PROMPT":
-        return "\u0002P\u0003"
+    if p in _TEXT_PARTS:
+        return f"\u0002{p}\u0003"
     return f"\u0002{p[0]},{p[1]}\u0003"
 
 
@@ -147,12 +223,13 @@ def _templates():
             if parts is None:
                 tpl = _NULL
             else:
-                tpl = "".join(p if isinstance(p, str) and p != "PROMPT" else _token(p)
-                              for p in parts)
-                tokens |= {p for p in parts if not (isinstance(p, str) and p != "PROMPT")}
+                named = [p for p in parts if isinstance(p, tuple) or p in _TEXT_PARTS]
+                tpl = "".join(_token(p) if p in named else p for p in parts)
+                tokens |= set(named)
             for dg in (["*"] if digits == "*" else list(digits)):
                 table[kind + dg] = tpl
-    return table, sorted(tokens, key=str)
+    # texts come last, so nothing inside them is taken for a token
+    return table, sorted(tokens, key=lambda p: (p in _TEXT_PARTS, str(p)))
 
 
 def offline_reply(system: Column, user: Column, h: Column | None = None,
@@ -168,9 +245,10 @@ def offline_reply(system: Column, user: Column, h: Column | None = None,
                      F.try_element_at(m, F.concat(kind, F.lit("*"))))
     out = tpl
     for t in tokens:
-        # the prompt comes last, so nothing inside it is taken for a token
-        val = user if t == "PROMPT" else F.substring(h, t[0], t[1])
-        out = F.replace(out, F.lit(_token(t)), val)
+        if t in _TEXT_PARTS:
+            out = F.when(tpl.contains(_token(t)), F.replace(out, F.lit(_token(t)), _text_part(t, user, kind))).otherwise(out)
+        else:
+            out = F.replace(out, F.lit(_token(t)), F.substring(h, t[0], t[1]))
     return py_strip(F.nullif(out, F.lit(_NULL)))
 
 
@@ -181,7 +259,7 @@ def sql_offline_reply_h(h: str, user: str) -> str:
         inner = []
         default = "NULL"
         for digits, parts in cases:
-            val = "NULL" if parts is None else _sql_parts(parts, h, user)
+            val = "NULL" if parts is None else _sql_parts(k, parts, h, user)
             if digits == "*":
                 default = val
             else:
@@ -207,10 +285,9 @@ class OfflineCompleter(ColumnCompleter):
 
 
 # ---------------------------------------------------------------------------
-# Batch completer: the user's model client, called in Arrow batches.
+# Completers with a store: the user's model client, called in tasks.
 # ---------------------------------------------------------------------------
 
-_REPLY_SCHEMA = "request_id string, content string, error string, attempt int"
 #: Requests per task of a wave.
 REQUESTS_PER_TASK = 512
 
@@ -229,75 +306,170 @@ def _answers(fn, pdf: pd.DataFrame) -> tuple[list, list]:
         return [r for x, _ in out for r in x], [r for _, x in out for r in x]
 
 
-class BatchCompleter:
-    """``fn(pdf[system_prompt, user_prompt]) -> Series[str | None]``.
+def _reply_frame(ids, content, error, attempt) -> pd.DataFrame:
+    content = [None if c is None or c != c else str(c) for c in content]
+    return pd.DataFrame({"request_id": list(ids), "content": pd.Series(content, dtype=object),
+                         "error": pd.Series(list(error), dtype=object), "attempt": attempt,
+                         "answered": [c is not None for c in content]})
 
-    Replies are stripped.  A batch that raises is sent again row by row, so a
-    failing row costs only itself; rows without a reply are retried in the next
-    round, up to ``attempts``, and their last error is kept in ``<out>_error``.
-    ``store`` is the folder of answered requests: a rerun that names the same
-    one never pays twice.
-    """
 
-    def __init__(self, fn: Callable[[pd.DataFrame], pd.Series], model: str, store: str,
-                 requests_per_task: int = REQUESTS_PER_TASK, attempts: int = 3,
-                 backoff_seconds: float = 0.0):
-        self.fn = fn
+class _StoreCompleter:
+    """What completers with a response store share.
+
+    Replies are stripped.  A request without a reply keeps its last error, which
+    ends up in ``<out>_error``.  ``store`` is the folder of answered requests: a
+    rerun that names the same one never pays twice."""
+
+    attempts = 1
+    backoff_seconds = 0.0
+
+    def __init__(self, model: str, store: str, requests_per_task: int, buckets: int):
         self.model = model
         self.store = store.rstrip("/")
         self.requests_per_task = requests_per_task
-        self.attempts = attempts
-        self.backoff_seconds = backoff_seconds
+        self.buckets = buckets
 
-    @staticmethod
-    def _read(spark, path: str) -> DataFrame:
-        """The store's rows; none where nothing was written yet.  Any other
-        failure to read is raised."""
-        try:
-            return spark.read.schema(_REPLY_SCHEMA).parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], _REPLY_SCHEMA)
+    def _sender(self, attempt: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        """Task function: rendered requests in, replies out."""
+        raise NotImplementedError
+
+    def responses(self, spark, wave: str) -> ResponseStore:
+        return ResponseStore(spark, f"{self.store}/{wave}", self.buckets)
 
     def complete(self, df: DataFrame, system: str, user: str, out: str,
                  wave: str = "wave") -> DataFrame:
-        spark = df.sparkSession
-        path = f"{self.store}/{wave}"
-        fn = self.fn
-        # the wave's rows once; prompts only in the request table
-        keyed = written(df.withColumn("_rid", request_id(self.model, F.col(system), F.col(user))),
-                        f"{wave}-rows")
-        requests = (keyed.select(F.col("_rid").alias("request_id"),
-                                 F.col(system).alias("system_prompt"),
-                                 F.col(user).alias("user_prompt"))
-                    .dropDuplicates(["request_id"]))
+        """As ``ask``, for rows that hold their prompts."""
+        rows = written(df, f"{wave}-prompts")
+        prompt = Prompt([F.col(system), F.col(user)],
+                        lambda r: r.withColumn("system_prompt", F.col(system)).withColumn("user_prompt", F.col(user)))
+        return self.ask(rows, prompt, out, wave)
+
+    def ask(self, rows: DataFrame, prompt: Prompt, out: str, wave: str = "wave") -> DataFrame:
+        """Rows with the reply to their prompt in column ``out``; the rows and
+        the ones of them that are sent are written without their prompts."""
+        store = self.responses(rows.sparkSession, wave)
+        keyed = written(rows.withColumn("_rid", request_id(self.model, *prompt.identity)), f"{wave}-rows")
+        # laid out as the store is, so that only this side moves
+        requests = keyed.repartition(self.buckets, "_rid").dropDuplicates(["_rid"])
         for attempt in range(1, self.attempts + 1):
-            answered = self._read(spark, path).filter(F.col("content").isNotNull())
-            pending = requests.join(answered.select("request_id"), "request_id", "left_anti")
+            known = store.read().filter("answered").select(F.col("request_id").alias("_rid"))
+            pending = written(requests.join(known.hint("merge"), "_rid", "left_anti"), f"{wave}-pending")
             n = pending.count()
             if n == 0:
                 break
             if attempt > 1 and self.backoff_seconds:
                 time.sleep(self.backoff_seconds * 2 ** (attempt - 2))
+            ready = prompt.render(pending).select(F.col("_rid").alias("request_id"), "system_prompt", "user_prompt")
+            width = -(-n // self.requests_per_task)
+            store.append(ready.repartition(width).mapInPandas(self._sender(attempt), REPLY_SCHEMA)
+                         .withColumn("content", py_strip(F.col("content"))))
+        got = store.latest().select(F.col("request_id").alias("_rid"), F.col("content").alias(out),
+                                    F.col("error").alias("_error"))
+        joined = keyed.join(got.hint("merge"), "_rid", "left")
+        error = F.when(F.col(out).isNull(), F.coalesce("_error", F.lit("no reply")))
+        return joined.withColumn(f"{out}_error", error).drop("_rid", "_error")
 
-            def call(batches, _attempt=attempt):
-                for pdf in batches:
-                    content, err = _answers(fn, pdf[["system_prompt", "user_prompt"]])
-                    yield pd.DataFrame({
-                        "request_id": pdf["request_id"],
-                        "content": pd.Series([None if c is None or c != c else str(c) for c in content],
-                                             dtype=object, index=pdf.index),
-                        "error": pd.Series(err, dtype=object, index=pdf.index),
-                        "attempt": _attempt})
 
-            width = -(-n // self.requests_per_task)
-            (pending.repartition(width).mapInPandas(call, _REPLY_SCHEMA)
-             .withColumn("content", py_strip(F.col("content")))
-             .write.mode("append").parquet(path))
-        done = self._read(spark, path).groupBy("request_id").agg(
-            F.min_by("content", F.when(F.col("content").isNotNull(), F.col("attempt"))).alias(out),
-            F.max_by("error", "attempt").alias(f"{out}_error"))
-        done = done.withColumn(f"{out}_error", F.when(
-            F.col(out).isNull(), F.coalesce(f"{out}_error", F.lit("no reply"))))
-        return keyed.join(done.withColumnRenamed("request_id", "_rid"), "_rid", "left").drop("_rid")
+class BatchCompleter(_StoreCompleter):
+    """``fn(pdf[system_prompt, user_prompt]) -> Series[str | None]``.
+
+    A batch that raises is sent again row by row, so a failing row costs only
+    itself; rows without a reply are sent again in the next round, up to
+    ``attempts`` rounds, ``backoff_seconds`` (doubling) apart.
+    """
+
+    def __init__(self, fn: Callable[[pd.DataFrame], pd.Series], model: str, store: str,
+                 requests_per_task: int = REQUESTS_PER_TASK, attempts: int = 3,
+                 backoff_seconds: float = 0.0, buckets: int = 16):
+        super().__init__(model, store, requests_per_task, buckets)
+        self.fn = fn
+        self.attempts = attempts
+        self.backoff_seconds = backoff_seconds
+
+    def _sender(self, attempt: int):
+        fn = self.fn
+
+        def send(batches):
+            for pdf in batches:
+                content, err = _answers(fn, pdf[["system_prompt", "user_prompt"]])
+                yield _reply_frame(pdf["request_id"], content, err, attempt)
+
+        return send
+
+
+def calls_in_flight(requests: Iterable[tuple[str, str, str]], call: Callable[[str, str], str | None],
+                    window: int, tries: int, first_wait: float, jitter: float,
+                    ) -> Iterator[tuple[str, str | None, str | None, int]]:
+    """(id, reply, error, tries used) of requests (id, system, user), in the
+    order in which they are done.
+
+    At most ``window`` calls run at once.  A request without a reply waits on
+    its own, ``first_wait`` seconds doubling with each try, up to ``jitter`` of
+    that longer, while others run; no more than ``window`` wait, so no more than
+    twice ``window`` requests are held."""
+    source = iter(requests)
+    more, order = True, 0
+    running: dict = {}
+    waiting: list = []  # (when due, order, request, try)
+
+    with ThreadPoolExecutor(max_workers=window) as pool:
+        def start(request, attempt):
+            running[pool.submit(call, request[1], request[2])] = (request, attempt)
+
+        while more or running or waiting:
+            while waiting and len(running) < window and waiting[0][0] <= time.monotonic():
+                start(*heapq.heappop(waiting)[2:])
+            while more and len(running) < window and len(waiting) < window:
+                request = next(source, None)
+                if request is None:
+                    more = False
+                else:
+                    start(request, 1)
+            pause = max(0.0, waiting[0][0] - time.monotonic()) if waiting and len(running) < window else None
+            if not running:
+                if pause:
+                    time.sleep(pause)
+                continue
+            done, _ = wait(running, timeout=pause, return_when=FIRST_COMPLETED)
+            for f in done:
+                request, attempt = running.pop(f)
+                problem = f.exception()
+                reply = None if problem else f.result()
+                if reply is not None:
+                    yield request[0], reply, None, attempt
+                elif attempt >= tries:
+                    yield request[0], None, repr(problem) if problem else "no reply", attempt
+                else:
+                    order += 1
+                    due = first_wait * 2 ** (attempt - 1) * (1 + jitter * random.random())
+                    heapq.heappush(waiting, (time.monotonic() + due, order, request, attempt + 1))
+
+
+class CallCompleter(_StoreCompleter):
+    """``call(system_prompt, user_prompt) -> str | None``, for clients that wait
+    on a server: each task keeps ``in_flight`` calls running, and tries each
+    request up to ``tries`` times with a wait of its own."""
+
+    def __init__(self, call: Callable[[str, str], str | None], model: str, store: str, in_flight: int = 10,
+                 tries: int = 3, first_wait: float = 1.0, jitter: float = 0.1,
+                 requests_per_task: int = REQUESTS_PER_TASK, buckets: int = 16):
+        super().__init__(model, store, requests_per_task, buckets)
+        self.call = call
+        self.options = {"window": in_flight, "tries": tries, "first_wait": first_wait, "jitter": jitter}
+
+    def _sender(self, attempt: int):
+        call, options = self.call, self.options
+
+        def send(batches):
+            rows = (r for pdf in batches
+                    for r in zip(pdf["request_id"], pdf["system_prompt"], pdf["user_prompt"], strict=True))
+            held = []
+            for got in calls_in_flight(rows, call, **options):
+                held.append(got)
+                if len(held) >= 64:
+                    yield _reply_frame(*zip(*held, strict=True))
+                    held = []
+            if held:
+                yield _reply_frame(*zip(*held, strict=True))
+
+        return send

@@ -2,17 +2,18 @@
 
 ``content_wave``: chunk x (<=3 sampled content agents) -> content prompt ->
 completion -> IRRELEVANT/empty filter.
-``instruction_wave``: content x (<=3 instruction agents drawn once per
+``instruction_replies``: content x (<=3 instruction agents drawn once per
 chunk) -> instruction prompt (with the task's one-shot when it has one) ->
 completion -> blank/IRRELEVANT filter -> reply parsed into pairs natively.
 
-Each wave is written and read back before it is filtered and parsed, so no
-reply is computed twice and no prompt is inlined into a later step.
+Rows carry keys of texts (``operators.texts``): a chunk has ``text_key``, a
+content ``content_key``.  The store gets each content as the wave is written;
+nothing else that is written holds a seed text or a content.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.parse import pair_blocks
@@ -20,88 +21,117 @@ from ..functions.prompts import content_prompt, instruction_prompt
 from ..functions.text import keep_content_reply, keep_instruction_reply, slug
 from ..session import written
 from ..sources.catalog import Catalog
-from .agents import sample_agents
+from .agents import agent_prompts, drawn_agents
+from .completion import Prompt
+from .texts import TextStore
 
 
-def content_requests(chunks: DataFrame, catalog: Catalog, seed=0, k: int = 3,
-                     debug: bool = False) -> DataFrame:
-    s = sample_agents(chunks, catalog, "content", k, seed, debug, "_content_agents")
-    ex = s.select("*", F.posexplode("_content_agents").alias("content_pos", "_a")) \
-        .drop("_content_agents")
-    return (ex.withColumn("content_pos", F.col("content_pos").cast("int"))
-            .withColumn("content_agent", F.col("_a.name"))
-            .withColumn("system_prompt", F.col("_a.system_prompt"))
-            .withColumn("user_prompt", content_prompt(F.col("_a.template"), F.col("text")))
-            .drop("_a"))
+def content_requests(chunks: DataFrame, catalog: Catalog, texts: TextStore, seed=0, k: int = 3,
+                     debug: bool = False) -> tuple[DataFrame, Prompt]:
+    """Chunks (task, chunk_id, source, text_key) x drawn agents, and their prompt."""
+    rows = drawn_agents(chunks, catalog, "content", k, seed, debug, "content_pos", "content_agent")
 
+    def render(r: DataFrame) -> DataFrame:
+        r = agent_prompts(texts.attach(r, "seeds", "text_key", "text"), catalog, "content")
+        return (r.withColumn("user_prompt", content_prompt(F.col("template"), F.col("text")))
+                .drop("template", "text"))
 
-def content_wave(chunks: DataFrame, catalog: Catalog, completer, seed=0, k: int = 3,
+    return rows, Prompt([F.lit("content"), F.col("agent_key"), F.hex("text_key")], render)
+
+
+def content_wave(chunks: DataFrame, catalog: Catalog, completer, texts: TextStore, seed=0, k: int = 3,
                  debug: bool = False, keep_rejected: bool = False) -> DataFrame:
     """Rows: chunk columns + content_pos, content_agent, transformation_type,
-    content.  ``keep_rejected`` keeps dropped replies with ``kept=false``."""
-    req = content_requests(chunks, catalog, seed, k, debug)
-    rep = completer.complete(req, "system_prompt", "user_prompt", "content", wave="content")
+    content_key.  ``keep_rejected`` keeps dropped replies with ``kept=false``."""
+    rows, prompt = content_requests(chunks, catalog, texts, seed, k, debug)
+    rep = completer.ask(rows, prompt, "content", wave="content").drop("agent_pos", "agent_key")
     rep = (rep.withColumn("transformation_type", slug(F.col("content_agent")))
-           .drop("system_prompt", "user_prompt"))
-    rep = written(rep, "content-wave").withColumn("kept", keep_content_reply(F.col("content")))
+           .withColumn("kept", keep_content_reply(F.col("content"))))
+    rep = texts.keep(rep, "contents", "content", "content_key")
     return rep if keep_rejected else rep.filter("kept").drop("kept")
 
 
-def instruction_requests(contents: DataFrame, catalog: Catalog, seed=0, k: int = 3,
-                         debug: bool = False) -> DataFrame:
-    s = sample_agents(contents, catalog, "instruction", k, seed, debug, "_instr_agents")
-    ex = s.select("*", F.posexplode("_instr_agents").alias("instr_pos", "_a")) \
-        .drop("_instr_agents")
-    shots = catalog.one_shots.select(
-        "task", F.col("instruction").alias("_shot_i"), F.col("answer").alias("_shot_a"))
-    ex = ex.join(shots, "task", "left")
-    return (ex.withColumn("instr_pos", F.col("instr_pos").cast("int"))
-            .withColumn("instruction_agent", F.col("_a.name"))
-            .withColumn("system_prompt", F.col("_a.system_prompt"))
-            .withColumn("user_prompt", instruction_prompt(F.col("_a.template"), F.col("content"),
-                                                          F.col("_shot_i"), F.col("_shot_a")))
-            .drop("_a", "_shot_i", "_shot_a"))
+def instruction_requests(contents: DataFrame, catalog: Catalog, texts: TextStore, seed=0, k: int = 3,
+                         debug: bool = False) -> tuple[DataFrame, Prompt]:
+    rows = drawn_agents(contents, catalog, "instruction", k, seed, debug, "instr_pos", "instruction_agent")
+
+    def render(r: DataFrame) -> DataFrame:
+        r = agent_prompts(texts.attach(r, "contents", "content_key", "content"), catalog, "instruction")
+        return (r.withColumn("user_prompt", instruction_prompt(F.col("template"), F.col("content"),
+                                                               F.col("shot_instruction"), F.col("shot_answer")))
+                .drop("template", "content", "shot_instruction", "shot_answer"))
 
+    return rows, Prompt([F.lit("instruction"), F.col("agent_key"), F.hex("content_key")], render)
 
-def instruction_replies(contents: DataFrame, catalog: Catalog, completer, seed=0,
+
+def instruction_replies(contents: DataFrame, catalog: Catalog, completer, texts: TextStore, seed=0,
                         k: int = 3, debug: bool = False) -> DataFrame:
-    req = instruction_requests(contents, catalog, seed, k, debug)
-    rep = completer.complete(req, "system_prompt", "user_prompt", "reply", wave="instruction")
-    return written(rep.drop("system_prompt", "user_prompt"), "instruction-wave")
+    rows, prompt = instruction_requests(contents, catalog, texts, seed, k, debug)
+    rep = completer.ask(rows, prompt, "reply", wave="instruction")
+    return written(rep.drop("agent_pos", "agent_key"), "instruction-wave")
+
 
+def _blocks_with(status: str):
+    return F.sum(F.size(F.filter("_blocks", lambda b: b["status"] == status))).cast("long")
 
-def pairs_from_replies(replies: DataFrame) -> DataFrame:
-    """Filter replies, parse blocks, keep valid pairs with lineage."""
-    kept = replies.filter(keep_instruction_reply(F.col("reply")))
-    ex = kept.select("*", F.explode(pair_blocks(F.col("reply"))).alias("_b"))
+
+#: What ``pairs_from_replies`` counts on its way.
+PARSE_COUNTS = {
+    "replies": lambda: F.count(F.lit(1)),
+    "replies_without_blocks": lambda: F.count_if(F.size("_blocks") == 0),
+    "blocks_parsed": lambda: _blocks_with("parsed"),
+    "blocks_without_marker": lambda: _blocks_with("missing_marker"),
+    "blocks_empty": lambda: _blocks_with("empty"),
+}
+
+
+def pairs_from_replies(replies: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """Filter replies, parse blocks, keep valid pairs with lineage; seed
+    text and content by key.  ``counts`` observes ``PARSE_COUNTS`` of the
+    replies that were not filtered, in the pass that reads the pairs."""
+    kept = replies.filter(keep_instruction_reply(F.col("reply"))).withColumn("_blocks", pair_blocks(F.col("reply")))
+    if counts is not None:
+        kept = kept.observe(counts, *[F.coalesce(f(), F.lit(0)).alias(n) for n, f in PARSE_COUNTS.items()])
+    ex = kept.select("*", F.explode("_blocks").alias("_b")).drop("_blocks")
     ex = ex.filter(F.col("_b.status") == "parsed")
     return (ex.select(
-        "task", "chunk_id", "source", F.col("text").alias("original_text"),
+        "task", "chunk_id", "source", "text_key",
         "content_pos", "instr_pos", F.col("_b.block_pos").alias("block_pos"),
         F.col("instruction_agent").alias("agent"), "instruction_agent",
-        F.col("content").alias("transformed_content"), "transformation_type",
+        "content_key", "transformation_type",
         F.col("_b.instruction").alias("instruction"), F.col("_b.answer").alias("answer"))
         .withColumn("pair_id", F.md5(F.concat_ws(
             "|", "task", F.col("chunk_id").cast("string"), F.col("content_pos").cast("string"),
             F.col("instr_pos").cast("string"), F.col("block_pos").cast("string")))))
 
 
+def with_texts(pairs: DataFrame, texts: TextStore) -> DataFrame:
+    """Pairs with ``original_text`` and ``transformed_content`` for their keys."""
+    p = texts.attach(pairs, "contents", "content_key", "transformed_content")
+    return texts.attach(p, "seeds", "text_key", "original_text").drop("text_key", "content_key")
+
+
 def parse_report(replies: DataFrame) -> DataFrame:
-    """One row per reply block with its parse status; replies with no
-    block at all get status ``no_blocks``; filtered replies ``filtered``."""
+    """One row per reply block with its parse status and, where it did not
+    parse, its text; replies with no block at all get status ``no_blocks``;
+    filtered replies ``filtered``."""
     kept = keep_instruction_reply(F.col("reply"))
     blocks = F.when(kept, pair_blocks(F.col("reply")))
-    ex = replies.select("task", "chunk_id", "content_pos", "instr_pos", "instruction_agent",
+    ex = replies.select("task", "chunk_id", "content_pos", "instr_pos", "instruction_agent", "reply",
                         F.when(~kept, F.lit("filtered")).alias("_pre"),
                         blocks.alias("_blocks"))
     with_rows = ex.select("*", F.explode_outer("_blocks").alias("_b"))
     status = F.coalesce(F.col("_pre"), F.col("_b.status"), F.lit("no_blocks"))
+    failed = F.when(status != "parsed", F.coalesce(F.col("_b.failed_text"), F.col("reply")))
     return with_rows.select("task", "chunk_id", "content_pos", "instr_pos", "instruction_agent",
-                            F.col("_b.block_pos").alias("block_pos"), status.alias("status"))
+                            F.col("_b.block_pos").alias("block_pos"), status.alias("status"),
+                            failed.alias("failed_text"))
 
 
-def generate_pairs(chunks: DataFrame, catalog: Catalog, completer, seed=0, k: int = 3,
+def generate_pairs(chunks: DataFrame, catalog: Catalog, completer, texts: TextStore, seed=0, k: int = 3,
                    debug: bool = False) -> DataFrame:
-    contents = content_wave(chunks, catalog, completer, seed, k, debug)
-    replies = instruction_replies(contents, catalog, completer, seed, k, debug)
+    """Chunks (task, chunk_id, source, text_key) whose texts are the store's
+    ``seeds`` -> pairs with keys."""
+    contents = content_wave(chunks, catalog, completer, texts, seed, k, debug)
+    replies = instruction_replies(contents, catalog, completer, texts, seed, k, debug)
     return pairs_from_replies(replies)

@@ -6,8 +6,11 @@ wave -> parse, looped per chunk with the reference's fallback:
 * otherwise the refined pairs replace the previous ones.
 
 The per-chunk decisions are joins on ``(task, chunk_id)``; a chunk holds at
-most 27 x p pairs, so no group grows with the corpus.  Each wave and each
-round's result is written as parquet, so a lost executor never replays one.
+most 27 x p pairs, so no group grows with the corpus.  Chunks that stop are set
+aside: a round reads and writes only the chunks that are still active, and the
+loop ends when there are none.  Each wave and each round's result is written as
+parquet, so a lost executor never replays one.  Pairs carry the keys of their
+seed text and content.
 """
 
 from __future__ import annotations
@@ -20,15 +23,12 @@ from ..functions.prompts import (EDITOR_SYSTEM, GOALS, SUGGESTER_SYSTEM, editor_
                                  suggester_prompt)
 from ..functions.text import is_missing
 from ..session import written
+from .completion import Prompt
 
-TEXTS = ["original_text", "transformed_content"]
-LINEAGE = ["task", "chunk_id", "source", "original_text", "content_pos", "instr_pos",
-           "block_pos", "agent", "instruction_agent", "transformed_content",
-           "transformation_type", "instruction", "answer", "pair_id", "goal_no", "round",
-           "parent_pair_id", "done"]
 KEY = ["task", "chunk_id"]
-#: What a round carries: no seed text and no content.
-LEAN = [c for c in LINEAGE if c not in TEXTS]
+PLACE = ["task", "chunk_id", "source", "text_key", "content_pos", "instr_pos", "block_pos"]
+PAIR = [*PLACE, "agent", "instruction_agent", "content_key", "transformation_type",
+        "instruction", "answer", "pair_id", "goal_no", "round", "parent_pair_id", "done"]
 
 
 def refine_start(pairs: DataFrame) -> DataFrame:
@@ -38,58 +38,65 @@ def refine_start(pairs: DataFrame) -> DataFrame:
             .withColumn("round", F.lit(0))
             .withColumn("parent_pair_id", F.lit(None).cast("string"))
             .withColumn("done", F.lit(False))
-            .select(*LEAN))
+            .select(*PAIR))
 
 
-def refine_round(cur: DataFrame, completer, round_no: int, min_refinements: int = 1,
-                 goals: list[str] | None = None, mcq_fallback: str = "parity") -> DataFrame:
+def _suggestions(r: DataFrame) -> DataFrame:
+    return (r.withColumn("system_prompt", F.lit(SUGGESTER_SYSTEM))
+            .withColumn("user_prompt", suggester_prompt(F.col("instruction"), F.col("answer"), F.col("goal"))))
+
+
+def _edits(r: DataFrame) -> DataFrame:
+    return (r.withColumn("system_prompt", F.lit(EDITOR_SYSTEM))
+            .withColumn("user_prompt", editor_prompt(F.col("instruction"), F.col("answer"), F.col("suggestions"))))
+
+
+def refine_round(active: DataFrame, completer, round_no: int, min_refinements: int = 1,
+                 goals: list[str] | None = None, mcq_fallback: str = "full") -> tuple[DataFrame, DataFrame]:
+    """One round over the active pairs: (pairs of the chunks that were refined,
+    pairs of the chunks that stop, marked ``done``)."""
     goals = goals or GOALS
-    counts = (cur.filter(~F.col("done")).groupBy(*KEY).count()
-              .filter(F.col("count") >= min_refinements).select(*KEY))
-    active = cur.filter(~F.col("done")).join(counts, KEY, "left_semi").drop("goal_no")
-    x = active.select("*", F.posexplode(F.array(*[F.lit(g) for g in goals])).alias("_g", "goal"))
+    enough = active.groupBy(*KEY).count().filter(F.col("count") >= min_refinements).select(*KEY)
+    x = active.join(enough, KEY, "left_semi").drop("goal_no")
+    x = x.select("*", F.posexplode(F.array(*[F.lit(g) for g in goals])).alias("_g", "goal"))
     x = x.withColumn("goal_no", (F.col("_g") + 1).cast("int")).drop("_g")
-    sreq = (x.withColumn("s_sys", F.lit(SUGGESTER_SYSTEM))
-            .withColumn("s_user", suggester_prompt(F.col("instruction"), F.col("answer"),
-                                                   F.col("goal"))))
-    srep = completer.complete(sreq, "s_sys", "s_user", "suggestions", wave=f"suggest_r{round_no}")
-    sok = written(srep.drop("s_sys", "s_user"), f"suggest-{round_no}").filter(~is_missing(F.col("suggestions")))
-    ereq = (sok.withColumn("e_sys", F.lit(EDITOR_SYSTEM))
-            .withColumn("e_user", editor_prompt(F.col("instruction"), F.col("answer"),
-                                                F.col("suggestions"))))
-    erep = completer.complete(ereq, "e_sys", "e_user", "modified", wave=f"edit_r{round_no}")
+    pair = [F.col("instruction"), F.col("answer")]
+    srep = completer.ask(x, Prompt([F.lit("suggest"), *pair, F.col("goal")], _suggestions), "suggestions",
+                         wave=f"suggest_r{round_no}")
+    sok = written(srep.drop("goal"), f"suggest-{round_no}").filter(~is_missing(F.col("suggestions")))
+    erep = completer.ask(sok, Prompt([F.lit("edit"), *pair, F.col("suggestions")], _edits), "modified",
+                         wave=f"edit_r{round_no}")
     # only what the result needs, and the reply normalised once: the parser reads it many times
-    erep = erep.select("task", "chunk_id", "source", "content_pos", "instr_pos", "block_pos",
-                       "instruction_agent", "transformation_type", "pair_id", "goal_no", "modified",
-                       normalise_modified(F.col("modified")).alias("_t"))
-    erep = written(erep, f"edit-{round_no}").filter(~is_missing(F.col("modified")))
-    parsed = erep.withColumn("_m", modified_pair(F.col("modified"), mcq_fallback, F.col("_t"))).drop("_t")
+    erep = erep.select(*PLACE, "instruction_agent", "content_key", "transformation_type", "pair_id", "goal_no",
+                       normalise_modified(F.col("modified")).alias("_t"), is_missing(F.col("modified")).alias("_none"))
+    erep = written(erep, f"edit-{round_no}").filter(~F.col("_none"))
+    parsed = erep.withColumn("_m", modified_pair(F.col("_t"), mcq_fallback, F.col("_t"))).drop("_t")
     new = (parsed.filter(F.col("_m").isNotNull()
                          & ~is_missing(F.col("_m.instruction")) & ~is_missing(F.col("_m.answer")))
-           .select("task", "chunk_id", "source", "content_pos", "instr_pos", "block_pos",
-                   F.format_string(f"Refinement Round {round_no}, Goal %d", F.col("goal_no"))
-                   .alias("agent"),
-                   "instruction_agent", "transformation_type",
+           .select(*PLACE,
+                   F.format_string(f"Refinement Round {round_no}, Goal %d", F.col("goal_no")).alias("agent"),
+                   "instruction_agent", "content_key", "transformation_type",
                    F.col("_m.instruction").alias("instruction"),
                    F.col("_m.answer").alias("answer"),
                    F.md5(F.concat(F.col("pair_id"), F.lit(f"|r{round_no}g"),
                                   F.col("goal_no").cast("string"))).alias("pair_id"),
                    "goal_no", F.lit(round_no).alias("round"),
                    F.col("pair_id").alias("parent_pair_id"), F.lit(False).alias("done")))
-    new = written(new.select(*LEAN), f"round-{round_no}")
-    refined_chunks = new.select(*KEY).distinct()
-    keep_old = cur.join(refined_chunks, KEY, "left_anti").withColumn("done", F.lit(True)).select(*LEAN)
-    return new.unionByName(keep_old)
+    new = written(new.select(*PAIR), f"round-{round_no}")
+    stopped = active.join(new.select(*KEY).distinct(), KEY, "left_anti").withColumn("done", F.lit(True))
+    return new, stopped.select(*PAIR)
 
 
 def refine(pairs: DataFrame, completer, max_rounds: int = 1, min_refinements: int = 1,
-           goals: list[str] | None = None, mcq_fallback: str = "parity") -> DataFrame:
+           goals: list[str] | None = None, mcq_fallback: str = "full") -> DataFrame:
     """``refine_instructions``: up to ``max_rounds`` rounds per chunk (none: the
-    valid pairs as they are).  Rounds carry keys and pairs; the texts come back by
-    (task, chunk, content) at the end."""
-    pairs = written(pairs, "pairs")
-    texts = pairs.groupBy("task", "chunk_id", "content_pos").agg(*(F.first(c).alias(c) for c in TEXTS))
-    cur = refine_start(pairs)
+    valid pairs as they are)."""
+    active, aside = refine_start(written(pairs, "pairs")), []
     for r in range(1, max_rounds + 1):
-        cur = refine_round(cur, completer, r, min_refinements, goals, mcq_fallback)
-    return cur.join(texts, ["task", "chunk_id", "content_pos"], "left").select(*LINEAGE)
+        if not active.take(1):
+            break
+        active, stopped = refine_round(active, completer, r, min_refinements, goals, mcq_fallback)
+        aside.append(stopped)
+    for stopped in aside:
+        active = active.unionByName(stopped)
+    return active

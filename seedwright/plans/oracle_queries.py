@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import mcq as M
 from ..functions.parse import sql_block_fields, sql_blocks_list, sql_modified_fields
-from ..functions.prompts import EDITOR_MARKER, EDITOR_SYSTEM, sql_content_prompt, sql_instruction_prompt
+from ..functions.prompts import EDITOR_SYSTEM, sql_content_prompt, sql_editor_prompt, sql_instruction_prompt
 from ..functions.text import (sql_collapse_ws, sql_is_missing, sql_keep_instruction_reply,
                               sql_str, sql_strip, sql_strip_fences, sql_strip_markdown)
 from ..operators.agents import sql_sample
@@ -99,6 +99,30 @@ def union_sources() -> str:
     return " UNION ALL ".join(parts)
 
 
+def page_chunks() -> str:
+    t = sql_collapse_ws(sql_html_text("html"))
+    p = (f"SELECT regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS source, page_id, {t} AS text FROM pages")
+    n = f"SELECT *, row_number() OVER (PARTITION BY source ORDER BY page_id) AS page_no FROM ({p})"
+    return (f"SELECT row_number() OVER (ORDER BY source, page_no) - 1 AS chunk_id, source, page_no, text "
+            f"FROM ({n}) WHERE text <> ''")
+
+
+def progress_states() -> str:
+    """One grouping of the whole log; crc32 by its byte table."""
+    table = "range(0, 256)"
+    for _ in range(8):
+        table = f"list_transform({table}, lambda c: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    log = ("SELECT doc_id, source, n, hex(encode(doc_id || '|' || n)) AS h "
+           "FROM (SELECT doc_id, source, unnest(range(1, 2 + length(source) % 4)) AS n FROM documents)")
+    crc = ("xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(0, length(h) // 2), "
+           "lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint)), "
+           "lambda c, x: xor(c >> 8, bytes[xor(c, x) % 256 + 1])), 4294967295)")
+    rows = f"SELECT doc_id, source, n, {crc} AS h FROM ({log}), (SELECT {table} AS bytes)"
+    return (f"SELECT '{TASK}' AS task, sha256(CAST(doc_id AS VARCHAR)) AS chunk_key, source AS config, "
+            f"['processed_chunk', 'empty_chunk', 'error_chunk'][arg_max(h, n) % 3 + 1] AS status, "
+            f"arg_max(h, n) % 7 AS n_pairs, count(*) AS attempts, max(n) AS \"at\" FROM ({rows}) GROUP BY doc_id, source")
+
+
 def packed() -> str:
     m = PACK_MIN
     return f"""
@@ -184,8 +208,8 @@ def oracle() -> dict[str, str]:
     bf = sql_block_fields("b")
     edit = (f"SELECT doc_id, v, {sql_offline_reply_h('md5(concat_ws(chr(1), sys, usr))', 'usr')} AS reply "
             f"FROM (SELECT doc_id, v, {sql_str(EDITOR_SYSTEM + ' #')} || CAST(v AS VARCHAR) AS sys, "
-            f"text || {sql_str(chr(10) + EDITOR_MARKER)} AS usr "
-            f"FROM (SELECT doc_id, text, unnest(range(4)) AS v FROM documents))")
+            f"{sql_editor_prompt('text', 'source', 'lang')} AS usr "
+            f"FROM (SELECT doc_id, text, source, lang, unnest(range(4)) AS v FROM documents))")
     mf = sql_modified_fields("reply")
     all_chunks = all_task_chunks()
     status_src = (f"SELECT c.task, c.chunk_id, c.text, n.n_pairs FROM ({doc_chunks(with_skipped=True)}) c "
@@ -230,6 +254,7 @@ def oracle() -> dict[str, str]:
         "union_sources": union_sources(),
         "chunk_sample": (f"SELECT row_number() OVER (ORDER BY source_ord, split_ord, ord) - 1 "
                          f"AS chunk_id, source, split, ord, text FROM ({union_sources()})"),
+        "page_chunks": page_chunks(),
         "chunk_min_chars": f"SELECT source, chunk_no, text, CAST(length(text) AS BIGINT) AS n_chars FROM ({packed()})",
         "chunk_fixed": fixed(),
         "chunk_index": (f"SELECT row_number() OVER (ORDER BY source, chunk_no) - 1 AS chunk_id, "
@@ -241,7 +266,8 @@ def oracle() -> dict[str, str]:
         "resume_anti": (f"SELECT chunk_id, source FROM ({doc_chunks()}) c WHERE chunk_id NOT IN "
                         f"(SELECT TRY_CAST({sql_strip('CAST(doc_id AS VARCHAR)')} AS BIGINT) FROM labels "
                         f"WHERE TRY_CAST({sql_strip('CAST(doc_id AS VARCHAR)')} AS BIGINT) IS NOT NULL)"),
-        "progress_append": f"SELECT DISTINCT task, 'documents' AS source_id, chunk_id FROM ({flagship()})",
+        "progress_append": f"SELECT DISTINCT task, 'corpus_documents' AS source_id, chunk_id FROM ({flagship()})",
+        "progress_states": progress_states(),
         "sample_content_agents": (f"SELECT task, chunk_id, content_pos, content_pos_name AS content_agent "
                                   f"FROM ({content_s})"),
         "sample_instruction_agents": (f"SELECT task, chunk_id, instr_pos, instr_pos_name AS "

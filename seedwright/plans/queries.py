@@ -6,6 +6,7 @@ over their whole extent; the model is the deterministic offline completer.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,19 +14,21 @@ from pyspark.sql import types as T
 
 from ..functions import mcq as M
 from ..functions.parse import modified_pair, pair_blocks
-from ..functions.prompts import EDITOR_MARKER, EDITOR_SYSTEM, content_prompt, instruction_prompt
+from ..functions.prompts import EDITOR_SYSTEM, editor_prompt
 from ..functions.text import collapse_ws, keep_instruction_reply, strip_fences, strip_markdown
 from ..operators import output as O
-from ..operators.agents import sample_agents
-from ..operators.chunking import dense_index, fixed_slices, pack_min_chars
+from ..operators.agents import drawn_agents
+from ..operators.chunking import dense_index, fixed_slices, grouped_prefix, pack_min_chars
 from ..operators.completion import OfflineCompleter
-from ..operators.generation import content_wave, generate_pairs, instruction_replies, parse_report
+from ..operators.generation import (content_requests, content_wave, generate_pairs, instruction_replies,
+                                    instruction_requests, parse_report, with_texts)
 from ..operators.mcq import complete_samples, inspect_rows, mcq_filter, sample_n
-from ..operators.refinement import LINEAGE, refine
-from ..operators.selection import (limit_chunks, order_chunks, parse_progress,
-                                   progress_rows, resume_filter, skip_empty)
+from ..operators.refinement import refine
+from ..operators.selection import (fold_states, limit_chunks, order_chunks, parse_progress,
+                                   progress_rows, resume_filter, skip_empty, source_id)
+from ..operators.texts import TextStore
 from ..sources.catalog import load_catalog
-from ..sources.pages import html_text, normalise_pages
+from ..sources.pages import html_text, normalise_pages, page_texts
 from ..sources.tables import TableResolver, TableSource, read_sources, resolve_specs, spec_columns
 
 TASK = "reading_comprehension"
@@ -60,20 +63,47 @@ def _longs(df: DataFrame) -> DataFrame:
 # shared Spark building blocks
 # ---------------------------------------------------------------------------
 
-def doc_chunks(spark, sf, task: str = TASK, with_skipped: bool = False) -> DataFrame:
-    """C1 + C5 + P1 over ``documents``: chunk per document, id by doc_id."""
-    d = _t(spark, sf, "documents").select("doc_id", "source", "text")
-    c = dense_index(d, ["doc_id"], "chunk_id").withColumn("task", F.lit(task))
-    return c if with_skipped else skip_empty(c)[0]
+#: Columns of a pair with its texts.
+LINEAGE = ["task", "chunk_id", "source", "original_text", "content_pos", "instr_pos", "block_pos", "agent",
+           "instruction_agent", "transformed_content", "transformation_type", "instruction", "answer", "pair_id",
+           "goal_no", "round", "parent_pair_id", "done"]
+PAIR = LINEAGE[:14]
 
 
-def flagship_pairs(spark, sf) -> DataFrame:
-    return generate_pairs(doc_chunks(spark, sf), catalog(spark), OfflineCompleter(MODEL), SEED)
+def doc_chunks(spark, sf, task: str = TASK, with_skipped: bool = False) -> tuple[DataFrame, TextStore]:
+    """C1 + C5 + P1 over ``documents``: (task, chunk_id, source, text_key), a
+    chunk per document, id by doc_id; and the store of the texts."""
+    texts = TextStore(spark)
+    keys = texts.refer(_t(spark, sf, "documents").select("doc_id", "source", "text"), "seeds")
+    c = dense_index(keys, ["doc_id"], "chunk_id", lean=True).withColumn("task", F.lit(task))
+    c = c.select("task", "chunk_id", "source", "text_key")
+    return (c if with_skipped else skip_empty(c)[0]), texts
 
 
-def refined(spark, sf, rounds: int = 1, min_ref: int = 1) -> DataFrame:
-    return refine(flagship_pairs(spark, sf), OfflineCompleter(MODEL), max_rounds=rounds,
-                  min_refinements=min_ref)
+def doc_numbers(spark, sf) -> DataFrame:
+    """The chunks without any text: (chunk_id, source) of documents that have one."""
+    d = _t(spark, sf, "documents").select("doc_id", "source", F.coalesce(F.col("text") != "", F.lit(False)).alias("full"))
+    return dense_index(d, ["doc_id"], "chunk_id", lean=True).filter("full").select("chunk_id", "source")
+
+
+def for_tasks(chunks: DataFrame, cat) -> DataFrame:
+    return chunks.drop("task").withColumn("task", F.explode(F.array(*[F.lit(t) for t in cat.tasks])))
+
+
+def flagship_pairs(spark, sf) -> tuple[DataFrame, TextStore]:
+    """Pairs with keys of their texts, and the store."""
+    chunks, texts = doc_chunks(spark, sf)
+    return generate_pairs(chunks, catalog(spark), OfflineCompleter(MODEL), texts, SEED), texts
+
+
+def refined(spark, sf, rounds: int = 1, min_ref: int = 1) -> tuple[DataFrame, TextStore]:
+    pairs, texts = flagship_pairs(spark, sf)
+    return refine(pairs, OfflineCompleter(MODEL), max_rounds=rounds, min_refinements=min_ref,
+                  mcq_fallback="parity"), texts
+
+
+def refined_with_texts(spark, sf, rounds: int = 1, min_ref: int = 1) -> DataFrame:
+    return with_texts(*refined(spark, sf, rounds, min_ref)).select(*LINEAGE)
 
 
 def _docs_resolver(sf: str) -> TableResolver:
@@ -96,49 +126,42 @@ def _by_source(spark, sf) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q_generate_pairs(spark, sf):
-    return _longs(flagship_pairs(spark, sf))
+    return _longs(with_texts(*flagship_pairs(spark, sf)).select(*PAIR))
 
 
-def q_sample_content_agents(spark, sf):
+def _drawn(spark, sf, stage, pos, name):
     cat = catalog(spark)
-    c = doc_chunks(spark, sf).drop("task").withColumn(
-        "task", F.explode(F.array(*[F.lit(t) for t in cat.tasks])))
-    s = sample_agents(c, cat, "content", 3, SEED)
-    return _longs(s.select("task", "chunk_id", F.posexplode("sampled").alias("content_pos", "a"))
-                  .select("task", "chunk_id", "content_pos", F.col("a.name").alias("content_agent")))
+    d = drawn_agents(for_tasks(doc_numbers(spark, sf), cat), cat, stage, 3, SEED, False, pos, name)
+    return _longs(d.select("task", "chunk_id", pos, name))
+
+
+def q_sample_content_agents(spark, sf):
+    return _drawn(spark, sf, "content", "content_pos", "content_agent")
 
 
 def q_sample_instruction_agents(spark, sf):
-    cat = catalog(spark)
-    c = doc_chunks(spark, sf).drop("task").withColumn(
-        "task", F.explode(F.array(*[F.lit(t) for t in cat.tasks])))
-    s = sample_agents(c, cat, "instruction", 3, SEED)
-    return _longs(s.select("task", "chunk_id", F.posexplode("sampled").alias("instr_pos", "a"))
-                  .select("task", "chunk_id", "instr_pos",
-                          F.col("a.name").alias("instruction_agent")))
+    return _drawn(spark, sf, "instruction", "instr_pos", "instruction_agent")
+
+
+def _prompt_digest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    p = F.col("user_prompt")
+    return _longs(rows.select(*keys, F.md5(p).alias("prompt_md5"), F.length(p).cast("bigint").alias("prompt_len")))
 
 
 def q_content_prompt(spark, sf):
-    s = sample_agents(doc_chunks(spark, sf), catalog(spark), "content", 3, SEED)
-    ex = s.select("task", "chunk_id", "text", F.posexplode("sampled").alias("content_pos", "a"))
-    p = content_prompt(F.col("a.template"), F.col("text"))
-    return _longs(ex.select("task", "chunk_id", "content_pos",
-                            F.md5(p).alias("prompt_md5"), F.length(p).cast("bigint").alias("prompt_len")))
+    chunks, texts = doc_chunks(spark, sf)
+    rows, prompt = content_requests(chunks, catalog(spark), texts, SEED)
+    return _prompt_digest(prompt.render(rows), ["task", "chunk_id", "content_pos"])
 
 
 def _instr_prompts(spark, sf, one_shot: bool):
     cat = catalog(spark)
-    contents = content_wave(doc_chunks(spark, sf), cat, OfflineCompleter(MODEL), SEED)
-    s = sample_agents(contents, cat, "instruction", 3, SEED)
-    ex = s.select("task", "chunk_id", "content_pos", "content",
-                  F.posexplode("sampled").alias("instr_pos", "a"))
-    shots = cat.one_shots.select("task", F.col("instruction").alias("si"), F.col("answer").alias("sa"))
-    ex = ex.join(shots, "task", "left")
-    si = F.col("si") if one_shot else F.lit(None).cast("string")
-    sa = F.col("sa") if one_shot else F.lit(None).cast("string")
-    p = instruction_prompt(F.col("a.template"), F.col("content"), si, sa)
-    return _longs(ex.select("task", "chunk_id", "content_pos", "instr_pos",
-                            F.md5(p).alias("prompt_md5"), F.length(p).cast("bigint").alias("prompt_len")))
+    if not one_shot:
+        cat = replace(cat, one_shots=cat.one_shots.limit(0))
+    chunks, texts = doc_chunks(spark, sf)
+    contents = content_wave(chunks, cat, OfflineCompleter(MODEL), texts, SEED)
+    rows, prompt = instruction_requests(contents, cat, texts, SEED)
+    return _prompt_digest(prompt.render(rows), ["task", "chunk_id", "content_pos", "instr_pos"])
 
 
 def q_instruction_prompt(spark, sf):
@@ -152,10 +175,11 @@ def q_one_shot_prompt(spark, sf):
 def q_irrelevant_filter(spark, sf):
     cat = catalog(spark)
     comp = OfflineCompleter(MODEL)
-    cw = content_wave(doc_chunks(spark, sf), cat, comp, SEED, keep_rejected=True)
+    chunks, texts = doc_chunks(spark, sf)
+    cw = content_wave(chunks, cat, comp, texts, SEED, keep_rejected=True)
     c = cw.select(F.lit("content").alias("stage"), "chunk_id", "content_pos",
                   F.lit(-1).alias("instr_pos"), "kept")
-    rep = instruction_replies(cw.filter("kept").drop("kept"), cat, comp, SEED)
+    rep = instruction_replies(cw.filter("kept").drop("kept"), cat, comp, texts, SEED)
     i = rep.select(F.lit("instruction").alias("stage"), "chunk_id", "content_pos", "instr_pos",
                    keep_instruction_reply(F.col("reply")).alias("kept"))
     return _longs(c.unionByName(i))
@@ -164,7 +188,8 @@ def q_irrelevant_filter(spark, sf):
 def _flagship_replies(spark, sf):
     cat = catalog(spark)
     comp = OfflineCompleter(MODEL)
-    return instruction_replies(content_wave(doc_chunks(spark, sf), cat, comp, SEED), cat, comp, SEED)
+    chunks, texts = doc_chunks(spark, sf)
+    return instruction_replies(content_wave(chunks, cat, comp, texts, SEED), cat, comp, texts, SEED)
 
 
 def q_parse_pairs(spark, sf):
@@ -191,10 +216,11 @@ def q_strip_markdown(spark, sf):
 
 
 def q_parse_modified(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", "text")
-    ex = d.select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("v"))
+    """Editor replies to whole documents, four a document."""
+    d = _t(spark, sf, "documents").select("doc_id", "text", "source", "lang")
+    ex = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("v"))
     req = (ex.withColumn("sys", F.concat(F.lit(EDITOR_SYSTEM + " #"), F.col("v").cast("string")))
-           .withColumn("usr", F.concat(F.col("text"), F.lit("\n" + EDITOR_MARKER))))
+           .withColumn("usr", editor_prompt(F.col("text"), F.col("source"), F.col("lang"))))
     rep = OfflineCompleter(MODEL).complete(req, "sys", "usr", "reply")
     m = modified_pair(F.col("reply"), "parity")
     return _longs(rep.select("doc_id", "v", m.isNotNull().alias("ok"),
@@ -240,11 +266,26 @@ def q_union_sources(spark, sf):
 
 
 def q_chunk_sample(spark, sf):
-    u = _union(spark, sf)
-    c = dense_index(u, ["source_ord", "split_ord", "ord"], "chunk_id")
+    texts = TextStore(spark)
+    keys = texts.refer(_union(spark, sf).select("source", "split", "source_ord", "split_ord", "ord", "text"), "seeds")
+    c = texts.attach(dense_index(keys, ["source_ord", "split_ord", "ord"], "chunk_id", lean=True), "seeds")
     return _longs(c.select("chunk_id", "source", "split", "ord", "text"))
 
 
+def q_page_chunks(spark, sf):
+    """Pages of a site as the pages of a document: a chunk per page with text."""
+    p = _t(spark, sf, "pages").select(F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("path"), "page_id", "html")
+    numbers = grouped_prefix(p.select("path", "page_id", F.lit(1).cast("long").alias("one")), ["path"],
+                             ["path", "page_id"], "one", "before", lean=True)
+    p = p.join(numbers.select("page_id", "before"), "page_id")
+    pages = p.select(F.col("path").alias("source"), "path", (F.col("before") + 1).cast("int").alias("page_no"),
+                     html_text(F.col("html")).alias("raw"), F.lit(None).cast("string").alias("error"))
+    texts = TextStore(spark)
+    rows = texts.keep(page_texts(pages), "seeds").filter("text_key is not null")
+    chunks = dense_index(rows.select("source", "part", "chunk_no", "text_key"), ["part", "chunk_no"], "chunk_id", lean=True)
+    return _longs(texts.attach(chunks, "seeds").select("chunk_id", "source", F.col("chunk_no").alias("page_no"), "text"))
+
+
 def q_chunk_min_chars(spark, sf):
     p = pack_min_chars(_by_source(spark, sf), PACK_MIN, group_cols=["source"])
     return _longs(p.select("source", "chunk_no", "text",
@@ -263,47 +304,60 @@ def q_chunk_index(spark, sf):
 
 
 def q_limit_chunks(spark, sf):
-    c = order_chunks(doc_chunks(spark, sf))
+    c = order_chunks(doc_numbers(spark, sf))
     return _longs(limit_chunks(c, MAX_CHUNKS).select("chunk_id", "source"))
 
 
 def q_shuffle_chunks(spark, sf):
-    c = order_chunks(doc_chunks(spark, sf), shuffle=True, seed=SEED)
+    c = order_chunks(doc_numbers(spark, sf).withColumn("task", F.lit(TASK)), shuffle=True, seed=SEED)
     return _longs(c.select("chunk_id", "pos"))
 
 
 def q_resume_anti(spark, sf):
     lines = _t(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("value"))
     done = parse_progress(lines)
-    return _longs(resume_filter(doc_chunks(spark, sf), done, ["chunk_id"]).select("chunk_id", "source"))
+    return _longs(resume_filter(doc_numbers(spark, sf), done, ["chunk_id"]).select("chunk_id", "source"))
 
 
 def q_progress_append(spark, sf):
-    return _longs(progress_rows(flagship_pairs(spark, sf), "documents"))
+    return _longs(progress_rows(flagship_pairs(spark, sf)[0], source_id("corpus/documents")))
+
+
+def q_progress_states(spark, sf):
+    """The job's progress log: latest state and attempts of each chunk, from a
+    snapshot of the earlier runs and the later ones."""
+    d = _t(spark, sf, "documents").select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.lit(1) + F.length("source") % 4)).alias("at"))
+    h = F.crc32(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("at").cast("string")).cast("binary"))
+    status = F.element_at(F.array(*[F.lit(x) for x in ("processed_chunk", "empty_chunk", "error_chunk")]), (h % 3 + 1).cast("int"))
+    log = d.select(F.lit(TASK).alias("task"), F.sha2(F.col("doc_id").cast("string"), 256).alias("chunk_key"),
+                   F.col("source").alias("config"), status.alias("status"), (h % 7).alias("n_pairs"),
+                   F.lit(1).cast("long").alias("attempts"), F.col("at").cast("long").alias("at"))
+    snapshot = fold_states(log.filter("at <= 2"))
+    return _longs(fold_states(snapshot.unionByName(log.filter("at > 2"))))
 
 
 def q_refine_round(spark, sf):
-    return _longs(refined(spark, sf, 1, 1).select(*LINEAGE))
+    return _longs(refined_with_texts(spark, sf, 1, 1))
 
 
 def q_refine_fallback(spark, sf):
-    return _longs(refined(spark, sf, 1, 3).select(*LINEAGE))
+    return _longs(refined_with_texts(spark, sf, 1, 3))
 
 
 def q_refine_two_rounds(spark, sf):
-    return _longs(refined(spark, sf, 2, 1).select(*LINEAGE))
+    return _longs(refined_with_texts(spark, sf, 2, 1))
 
 
 def q_output_pairs(spark, sf):
-    return _longs(O.output_records(refined(spark, sf), MODEL))
+    return _longs(O.output_records(refined(spark, sf)[0], MODEL))
 
 
 def q_output_with_content(spark, sf):
-    return _longs(O.output_records(refined(spark, sf), MODEL, include_content=True))
+    return _longs(O.output_records(refined_with_texts(spark, sf), MODEL, include_content=True))
 
 
 def _chats(spark, sf):
-    return O.chat_records(O.output_records(refined(spark, sf), MODEL, include_content=True))
+    return O.chat_records(O.output_records(refined_with_texts(spark, sf), MODEL, include_content=True))
 
 
 def q_chat_records(spark, sf):
@@ -320,16 +374,15 @@ def q_chat_records(spark, sf):
 
 
 def q_chunk_status_counts(spark, sf):
-    chunks = doc_chunks(spark, sf, with_skipped=True)
-    st = O.chunk_status(chunks, O.output_records(refined(spark, sf), MODEL))
+    chunks, _ = doc_chunks(spark, sf, with_skipped=True)
+    st = O.chunk_status(chunks, O.output_records(refined(spark, sf)[0], MODEL))
     return O.status_counts(st)
 
 
 def q_all_tasks(spark, sf):
     cat = catalog(spark)
-    c = doc_chunks(spark, sf).drop("task").withColumn(
-        "task", F.explode(F.array(*[F.lit(t) for t in cat.tasks])))
-    p = generate_pairs(c, cat, OfflineCompleter(MODEL), SEED)
+    c, texts = doc_chunks(spark, sf)
+    p = generate_pairs(for_tasks(c, cat), cat, OfflineCompleter(MODEL), texts, SEED)
     return _longs(p.select("task", "chunk_id", "content_pos", "instr_pos", "block_pos", "agent",
                            "transformation_type", "instruction", "answer"))
 
@@ -392,6 +445,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_spec": q_source_spec,
     "union_sources": q_union_sources,
     "chunk_sample": q_chunk_sample,
+    "page_chunks": q_page_chunks,
     "chunk_min_chars": q_chunk_min_chars,
     "chunk_fixed": q_chunk_fixed,
     "chunk_index": q_chunk_index,
@@ -399,6 +453,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shuffle_chunks": q_shuffle_chunks,
     "resume_anti": q_resume_anti,
     "progress_append": q_progress_append,
+    "progress_states": q_progress_states,
     "sample_content_agents": q_sample_content_agents,
     "sample_instruction_agents": q_sample_instruction_agents,
     "content_prompt": q_content_prompt,

@@ -10,9 +10,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder, below the checkpoint folder, of the run at hand.
+_SCOPE: ContextVar[str] = ContextVar("seedwright_scope", default="")
+
 
 def build_session(master: str | None = None, app: str = "seedwright",
                   shuffle_partitions: int | None = None,
@@ -74,9 +80,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or configured).rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables, inside the current scope."""
+    return f"{checkpoint_dir(spark)}{_SCOPE.get()}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[str]:
+    """Intermediate tables written inside go to one folder, which is removed
+    when the block ends well; after a failure it stays, to be looked at.
+    Nothing lazy that reads them may leave the block."""
+    path = scratch_path(spark, name)
+    token = _SCOPE.set(path[len(checkpoint_dir(spark)):])
+    try:
+        yield path
+        remove(spark, path)
+    finally:
+        _SCOPE.reset(token)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark's file systems reach."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: later steps prune columns, push filters and never replay it."""
-    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

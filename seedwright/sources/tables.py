@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import py_strip
+from .files import readable_files
 
 
 @dataclass
@@ -77,10 +78,14 @@ def spec_columns(spec: Column, pos: Column, text_fields: list[str]) -> dict[str,
 
 @dataclass
 class TableSource:
+    """``order_col`` gives the rows their order; without one they stand in the
+    order of their files and of their places in them.  ``check_files`` tries
+    each file first and reads the sound ones only (one more scan)."""
     path: str
     split_col: str | None = None
     order_col: str | None = None
     fmt: str = "parquet"
+    check_files: bool = False
 
 
 class TableResolver:
@@ -107,48 +112,73 @@ class TableResolver:
 class SourceRead:
     frame: DataFrame
     status: list[tuple[str, str, str]]  # (source, split, "ok" | reason)
+    files: DataFrame | None = None  # (source, path, length, rows, status) of the files that were tried
 
 
-def _spec_rows(spark: SparkSession, src: TableSource, sp: SourceSpec, pos: int) -> tuple[DataFrame, list]:
-    """All splits of a spec from one scan, and (source, split, status) of each."""
-    df = spark.read.format(src.fmt).load(src.path)
+_WHOLE = ("byte", "short", "integer", "long")
+
+
+def _order(df: DataFrame, src: TableSource) -> tuple[Column, Column]:
+    """(part, ord): rows are ordered by part, then by ord."""
+    if not src.order_col:
+        if src.fmt == "parquet":
+            return F.col("_metadata.file_path"), F.col("_metadata.row_index")
+        return F.lit(""), F.monotonically_increasing_id()
+    if src.order_col not in df.columns:
+        raise LookupError(f"no column {src.order_col}")
+    c = F.col(src.order_col)
+    if df.schema[src.order_col].dataType.typeName() in _WHOLE:
+        return F.lit(""), c.cast("long")
+    return F.coalesce(c.cast("string"), F.lit("")), F.lit(0).cast("long")
+
+
+def _spec_rows(spark: SparkSession, src: TableSource, sp: SourceSpec,
+               pos: int) -> tuple[DataFrame, list, DataFrame | None]:
+    """All splits of a spec from one scan, (source, split, status) of each, and
+    the files that were tried."""
     field_name = sp.text_field or "text"
+    files = None
+    if src.check_files:
+        df, files = readable_files(spark, src.path, src.fmt, [field_name, src.order_col, src.split_col])
+        files = files.select(F.lit(sp.name).alias("source"), "*")
+    else:
+        df = spark.read.format(src.fmt).load(src.path)
     if field_name not in df.columns:
         raise LookupError(f"no column {field_name}")
-    if not src.order_col:
-        raise LookupError("no order column named")
-    if df.schema[src.order_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
-        raise LookupError(f"order column {src.order_col} is not a whole number")
+    part, place = _order(df, src)
     wanted = F.array(*[F.struct(F.lit(s).alias("split"), F.lit(j).cast("int").alias("split_ord"))
                        for j, s in enumerate(sp.splits)])
     value = F.col(src.split_col).cast("string") if src.split_col else F.lit("train")
     # which of the wanted splits hold rows; reading them also shows a damaged file
     held = {r[0] for r in df.filter(value.isin(*sp.splits)).select(value).distinct().collect()}
     status = [(sp.name, s, "ok" if s in held else "missing") for s in sp.splits]
-    rows = df.select(F.col(src.order_col).cast("long").alias("ord"),
+    rows = df.select(part.alias("part"), place.alias("ord"),
                      F.col(field_name).cast("string").alias("text"),
-                     F.explode(F.filter(wanted, lambda w: w["split"] == value)).alias("_s"))
+                     F.filter(wanted, lambda w: w["split"] == value).alias("_w"))
+    rows = rows.select("part", "ord", "text", F.explode("_w").alias("_s"))
     return rows.select(F.lit(sp.name).alias("source"), F.lit(pos).cast("int").alias("source_ord"),
                        F.col("_s.split").alias("split"), F.col("_s.split_ord").alias("split_ord"),
-                       "ord", "text", F.lit(sp.min_chars).cast("int").alias("min_chars")), status
+                       "part", "ord", "text", F.lit(sp.min_chars).cast("int").alias("min_chars")), status, files
 
 
 def read_sources(spark: SparkSession, specs: list[SourceSpec], resolver: TableResolver) -> SourceRead:
     """S2+S3: all (spec, split) pairs as one tagged frame, one scan per spec:
-    source, source_ord, split, split_ord, ord, text, min_chars.  A source needs
-    an order column of whole numbers: chunk ids, and so resuming, rest on it."""
-    out, status = None, []
+    source, source_ord, split, split_ord, part, ord, text, min_chars.  Inside a
+    split, rows stand in the order of (part, ord)."""
+    out, status, tried = None, [], None
     for i, sp in enumerate(specs):
         try:
-            rows, seen = _spec_rows(spark, resolver.source(sp.name), sp, i)
+            rows, seen, files = _spec_rows(spark, resolver.source(sp.name), sp, i)
         except (LookupError, PySparkException) as e:  # a failing source is left out, the run goes on
             why = str(e) if isinstance(e, LookupError) else e.getCondition() or type(e).__name__
             status += [(sp.name, s, f"error: {why}") for s in sp.splits]
             continue
         status += seen
         out = rows if out is None else out.unionByName(rows)
+        if files is not None:
+            tried = files if tried is None else tried.unionByName(files)
     if out is None:
         out = spark.createDataFrame(
-            [], "source string, source_ord int, split string, split_ord int, ord long, "
+            [], "source string, source_ord int, split string, split_ord int, part string, ord long, "
                 "text string, min_chars int")
-    return SourceRead(out, status)
+    return SourceRead(out, status, tried)

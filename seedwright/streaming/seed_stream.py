@@ -1,11 +1,13 @@
-"""Structured Streaming driver: new seed files -> generation per micro-batch.
-
-The reference writes results as each chunk finishes and resumes from a
-progress file.  Here a file-source stream plays that role: each micro-batch
-(a set of new seed files) runs the same batch functions, appends chat records
-and progress rows, and the stream's checkpoint records which files are done.
-Packing and the dense index need whole batches, so the unit of work is a
-file batch (``maxFilesPerTrigger``), not a row.
+"""Structured Streaming driver: new seed files -> the whole job per micro-batch.
+
+The reference writes results as each chunk finishes and resumes from a progress
+file.  Here a file-source stream plays that role: each micro-batch (a set of new
+seed files) goes through the job's own functions, is committed under its batch id
+and leaves its states in the job's progress.  A replayed batch finds its id in the
+commit log and does nothing; a text that was done in an earlier batch, or stands
+twice in one, is not paid for again, whatever its id; failed texts are tried again
+when they come in again.  Packing and the dense index need whole batches, so the
+unit of work is a file batch (``maxFilesPerTrigger``), not a row.
 """
 
 from __future__ import annotations
@@ -15,41 +17,33 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.generation import generate_pairs
-from ..operators.output import chat_records, output_records, write_jsonl
-from ..operators.selection import append_progress, progress_rows, resume_filter
-from ..operators.selection import read_progress_table
-from ..session import written
+from ..jobs.run import JobConfig, run_chunks
+from ..operators.texts import TextStore
+from ..session import scratch_scope, written
 from ..sources.catalog import Catalog
 
 
 def start_seed_stream(spark: SparkSession, seed_dir: str, schema: str, catalog: Catalog,
                       completer, out_dir: str, progress_dir: str, checkpoint: str,
-                      task: str, text_col: str = "text", order_col: str = "doc_id",
-                      source_id: str = "stream", seed=0, files_per_trigger: int = 16,
-                      trigger_once: bool = False):
-    """Start the stream; returns the ``StreamingQuery``.  Chunk ids are the
-    order column (stable across batches), so resume works across restarts."""
+                      tasks: list[str], text_col: str = "text", cfg: JobConfig | None = None,
+                      source: str = "stream", files_per_trigger: int = 16, trigger_once: bool = False):
+    """Start the stream; returns the ``StreamingQuery``.  A chunk's id is a hash
+    of its text, the same in every batch."""
+    cfg = cfg or JobConfig()
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(seed_dir))
-
-    run_id = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+    name = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def run_batch(batch: DataFrame, epoch: int) -> None:
-        chunks = batch.select(F.lit(task).alias("task"),
-                              F.col(order_col).cast("long").alias("chunk_id"),
-                              F.lit(source_id).alias("source"),
-                              F.col(text_col).alias("text"))
-        chunks = chunks.withColumn("source_id", F.lit(source_id))
-        done = read_progress_table(batch.sparkSession, progress_dir)
-        if done is not None:
-            chunks = resume_filter(chunks, done, ["task", "source_id", "chunk_id"])
-        pairs = generate_pairs(chunks.drop("source_id"), catalog, completer, seed)
-        pairs = written(pairs, "stream-pairs")  # one model pass per batch
-        # a replayed batch overwrites its own folder and adds nothing
-        write_jsonl(chat_records(output_records(pairs, completer.model)),
-                    f"{out_dir}/batch={run_id}-{epoch}", mode="overwrite")
-        append_progress(progress_rows(pairs, source_id), progress_dir)
+        session = batch.sparkSession
+        with scratch_scope(session, f"batch-{epoch}"):
+            texts = TextStore(session)
+            seeds = texts.keep(batch.select(F.lit(source).alias("source"), F.col(text_col).alias("text")), "seeds")
+            # one chunk a text; texts that are missing are one skipped chunk
+            once = written(seeds.dropDuplicates(["text_key"]), "seeds-once")
+            chunks = once.select(F.xxhash64(F.coalesce("text_key", F.lit(b""))).alias("chunk_id"), "source", "text_key")
+            run_chunks(session, chunks, texts, catalog, completer, out_dir, progress_dir, tasks, cfg,
+                       run_id=f"{name}-{epoch}", batch=epoch)
 
     w = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w
