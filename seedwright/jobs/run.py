@@ -84,16 +84,15 @@ def build_chunks(spark: SparkSession, specs: list[str], resolver: TableResolver,
     status, the files that were tried, the rows read and their null texts."""
     read = read_sources(spark, resolve_specs(specs, text_fields), resolver)
     counts = Observation()
-    rows = read.frame.withColumnRenamed("ord", "chunk_no")
+    rows = read.frame.withColumnRenamed("ord", "chunk_no").withColumn("null_text", F.col("text").isNull())
     if cfg.chunking not in ("sample", "pack", "slice"):
         raise ValueError(f"unknown chunking {cfg.chunking!r}")
-    lean = texts.refer(rows, "seeds", counts=counts)
+    lean = texts.refer(rows, "seeds" if cfg.chunking == "sample" else "rows", counts=counts)
     if cfg.chunking != "sample":
         # number the rows, then put texts to the numbers: the chunkers need one order
-        placed = dense_index(lean, ORDER, "ord", lean=True).drop("part", "chunk_no")
-        rows = texts.attach(placed, "seeds").drop("text_key")
-        # an empty text has no key but counts as a row of its own; a null one does not
-        rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
+        placed = dense_index(lean.filter("not null_text").drop("null_text"), ORDER, "ord", lean=True)
+        rows = texts.attach(placed.drop("part", "chunk_no"), "rows").drop("text_key")
+        rows = rows.withColumn("text", F.coalesce("text", F.lit("")))  # an empty text has no key
         if cfg.chunking == "pack":
             rows = pack_sources(rows, cfg.min_chars)
         else:

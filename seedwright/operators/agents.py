@@ -28,7 +28,7 @@ def join_catalog(rows: DataFrame, small: DataFrame, on: list[str], catalog: Cata
     if catalog.n_agents <= MAX_AGENTS:
         return rows.join(F.broadcast(small), on)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
-    return (salted.join(small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long")),
+    return (salted.join(small.withColumn("_salt", F.explode(F.sequence(F.expr("0L"), F.expr(f"{SALTS - 1}L")))),
                         [*on, "_salt"]).drop("_salt"))
 
 

@@ -405,8 +405,8 @@ def calls_in_flight(requests: Iterable[tuple[str, str, str]], call: Callable[[st
 
     At most ``window`` calls run at once.  A request without a reply waits on
     its own, ``first_wait`` seconds doubling with each try, up to ``jitter`` of
-    that longer, while others run; no more than ``window`` wait, so no more than
-    twice ``window`` requests are held."""
+    that longer, while others run; when four times ``window`` wait, no new ones
+    are taken, so no more than five times ``window`` requests are held."""
     source = iter(requests)
     more, order = True, 0
     running: dict = {}
@@ -419,7 +419,7 @@ def calls_in_flight(requests: Iterable[tuple[str, str, str]], call: Callable[[st
         while more or running or waiting:
             while waiting and len(running) < window and waiting[0][0] <= time.monotonic():
                 start(*heapq.heappop(waiting)[2:])
-            while more and len(running) < window and len(waiting) < window:
+            while more and len(running) < window and len(waiting) < 4 * window:
                 request = next(source, None)
                 if request is None:
                     more = False

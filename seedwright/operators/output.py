@@ -80,7 +80,7 @@ def commits(spark: SparkSession, out_dir: str) -> list[dict]:
     names = [s.getPath().getName() for s in fs.listStatus(p)]
     if not any(n.endswith(".json") for n in names):
         return []
-    log = spark.read.option("wholetext", "true").text(f"{out_dir}/{COMMITS}/*.json")
+    log = spark.read.text(f"{out_dir}/{COMMITS}/*.json", wholetext=True)
     return sorted((json.loads(r.value) for r in log.collect()), key=lambda c: (c["seq"], c["run"]))
 
 

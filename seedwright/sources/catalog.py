@@ -51,7 +51,7 @@ def _raw_files(spark: SparkSession, root: str) -> DataFrame:
                     with open(os.path.join(d, fn), encoding="utf-8") as f:
                         rows.append((f"{stage_dir}/{fn}", f.read()))
         return spark.createDataFrame(rows, "path string, content string")
-    return (spark.read.option("wholetext", True).text(f"{root}/*/*.json")
+    return (spark.read.text(f"{root}/*/*.json", wholetext=True)
             .select(F.input_file_name().alias("path"), F.col("value").alias("content")))
 
 

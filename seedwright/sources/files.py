@@ -43,10 +43,15 @@ def _footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": pdf["path"], "promised": rows})
 
 
+def _sound(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """The rows up to a damaged place of each file; columns of all files."""
+    return (spark.read.format(fmt).option("ignoreCorruptFiles", "true").option("mergeSchema", "true").load(path))
+
+
 def file_status(spark: SparkSession, path: str, fmt: str, columns: list[str | None]) -> DataFrame:
     """(path, length, rows, status) of each file: ``ok`` or what is wrong."""
     files = manifest(spark, path, fmt)
-    sound = spark.read.format(fmt).option("ignoreCorruptFiles", "true").load(path)
+    sound = _sound(spark, path, fmt)
     used = [F.col(c) for c in dict.fromkeys(columns) if c and c in sound.columns]
     name = F.col("_metadata.file_path").alias("path")
     # footers only
@@ -54,8 +59,9 @@ def file_status(spark: SparkSession, path: str, fmt: str, columns: list[str | No
     # the columns themselves, decoded to the last row
     got = (sound.select(name, F.xxhash64(F.lit(0), *used).alias("_h")).groupBy("path")
            .agg(F.count(F.lit(1)).alias("rows"), F.bit_xor("_h").alias("_h")))
-    out = files.join(promised, "path", "left").join(got.drop("_h") if not used else got, "path", "left")
-    out = written(out.select("path", "length", "promised", F.coalesce("rows", F.lit(0)).alias("rows")), "files")
+    out = files.join(promised, "path", "left").join(got, "path", "left")
+    # written with the digest, which makes Spark decode the columns
+    out = written(out.select("path", "length", "promised", F.coalesce("rows", F.lit(0)).alias("rows"), "_h"), "files")
     if fmt == "parquet":
         # files without a single row: empty ones, or such without a footer
         none = out.filter("promised is null")
@@ -72,13 +78,15 @@ def file_status(spark: SparkSession, path: str, fmt: str, columns: list[str | No
 
 
 def readable_files(spark: SparkSession, path: str, fmt: str, columns: list[str | None]) -> tuple[DataFrame, DataFrame]:
-    """(rows of the sound files, status of all files)."""
+    """(rows of the sound files with ``_path`` and, for parquet, ``_row``, their
+    place in it; status of all files)."""
     status = written(file_status(spark, path, fmt, columns), "file-status")
     bad = status.filter("status <> 'ok'").select(F.col("path").alias("_bad"))
     n = bad.count()
-    df = spark.read.format(fmt).option("ignoreCorruptFiles", "true").load(path)
+    place = [F.col("_metadata.row_index").alias("_row")] if fmt == "parquet" else []
+    df = _sound(spark, path, fmt).select("*", F.col("_metadata.file_path").alias("_path"), *place)
     if n == 0:
         return df, status
     if n > MAX_BAD_FILES:
         raise LookupError(f"{n} unreadable files")
-    return df.join(F.broadcast(bad), F.col("_metadata.file_path") == F.col("_bad"), "left_anti"), status
+    return df.join(F.broadcast(bad), F.col("_path") == F.col("_bad"), "left_anti"), status

@@ -37,22 +37,22 @@ def read_samples(spark: SparkSession, path: str, schema: str | None = None, stri
     are whole documents (an object or an array of them); everything else is read
     line by line, blank lines apart."""
     whole = path.endswith(".json")
-    lines = spark.read.option("wholetext", str(whole).lower()).text(path).select(
+    lines = spark.read.text(path, wholetext=whole).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"))
     # one layout for the passes below
     lines = written(lines, "sample-lines")
     full = lines.filter(F.trim("value") != "")
     fields = _fields(spark, path, whole, schema)
-    marked = T.StructType([*fields, T.StructField(_BAD, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    kind = T.ArrayType(marked) if whole else marked
-    read = F.from_json("value", kind, options)
-    parsed = full.withColumn("_s", read)
     if whole:  # an object counts as an array of one
-        parsed = (parsed.withColumn("_ok", F.col("_s").isNotNull() & ~F.exists("_s", lambda s: s.isNull() | s[_BAD].isNotNull()))
-                  .select("value", "path", "_block", "_at", "_ok", F.explode_outer("_s").alias("_s")))
+        parsed = full.withColumn("_a", F.from_json("value", T.ArrayType(T.StructType(fields)), options))
+        parsed = parsed.select("value", "path", "_block", "_at", F.col("_a").isNotNull().alias("_ok"),
+                               F.explode_outer("_a").alias("_s"))
+        parsed = parsed.filter("not _ok or _s is not null")
     else:
+        marked = T.StructType([*fields, T.StructField(_BAD, T.StringType())])
+        parsed = full.withColumn("_s", F.from_json("value", marked, options))
         parsed = parsed.withColumn("_ok", F.col("_s").isNotNull() & F.col(f"_s.{_BAD}").isNull())
     rows = parsed.filter("_ok").select(*[F.col(f"_s.`{f.name}`").alias(f.name) for f in fields])
     bad = parsed.filter("not _ok").select("path", "_block", "_at", "value").distinct()

@@ -122,6 +122,8 @@ def _order(df: DataFrame, src: TableSource) -> tuple[Column, Column]:
     """(part, ord): rows are ordered by part, then by ord."""
     if not src.order_col:
         if src.fmt == "parquet":
+            if src.check_files:
+                return F.col("_path"), F.col("_row")
             return F.col("_metadata.file_path"), F.col("_metadata.row_index")
         return F.lit(""), F.monotonically_increasing_id()
     if src.order_col not in df.columns:
