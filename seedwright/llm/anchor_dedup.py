@@ -207,11 +207,12 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int, texts: bool) -> Iterat
 
 def _repeated(rows: DataFrame) -> DataFrame:
     """(rid, positions) of keys that occur twice or more.  No key has more rows
-    than there are flushes of tasks."""
+    than there are flushes of tasks; rows that are equal share one list, which
+    has each position once."""
     times = F.sum("n").over(Window.partitionBy("key", "check"))
     return (rows.withColumn("times", times)
             .filter("rid is not null and (times > 1 or n > 1)")
-            .groupBy("rid").agg(F.collect_list("pos").alias("positions")))
+            .groupBy("rid").agg(F.collect_set("pos").alias("positions")))
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, texts: bool = True) -> DataFrame:

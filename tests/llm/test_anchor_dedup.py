@@ -1,4 +1,5 @@
 import hashlib
+import time
 from collections import Counter
 
 import pytest
@@ -47,6 +48,27 @@ def test_equals_brute_force(spark, window):
     assert got == sorted((str(i), *w) for i, w in zip(ids, brute(texts, window), strict=True))
 
 
+def test_equal_rows_cost_in_proportion(spark):
+    r = rng(4)
+    text = " ".join(pseudo(r, 400, 10**6))
+    took = {}
+    for k in (50, 400, 3200):
+        df = frame(spark, [text] * k, [None] * k).repartition(4)
+        t = time.monotonic()
+        rows = remove_repeats(df, 35).collect()
+        took[k] = time.monotonic() - t
+        assert len(rows) == k and {(x.n_words, x.n_removed) for x in rows} == {(400, 400)}
+    assert took[3200] < 8 * took[400] + 5, took
+
+
+def test_long_word_and_long_text(spark):
+    r = rng(5)
+    w = pseudo(r, 30_000, 10**6)
+    texts = [" ".join(w[:20_000]) + " " + "x" * 20_000, " ".join(w[19_900:]), "x" * 20_000]
+    got = sorted((x.doc_id, x.n_words, x.n_removed, x.kept_sha256) for x in remove_repeats(frame(spark, texts), 35, texts=False).collect())
+    assert got == [(i, *b[:3]) for i, b in enumerate(brute(texts, 35))]
+
+
 def test_cover_and_empty(spark):
     assert cover_for(35)[0] == 21 and cover_for(1)[0] == 1
     assert remove_repeats(empty(spark), 35).collect() == []
