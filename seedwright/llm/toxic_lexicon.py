@@ -104,10 +104,20 @@ class Matcher:
         found, free = [], []
         for end, (size, w) in self.auto.iter(folded):
             (free if w is None else found).append((end + 1 - size, end + 1, w))
-        if free and found:
-            free_starts = sorted((a, b) for a, b, _ in free)
-            found = [m for m in found if not any(a <= m[0] and m[1] <= b for a, b in free_starts)]
-        return found
+        if not (free and found):
+            return found
+        # both in order of their starts: a match is free if a phrase that starts
+        # no later reaches its end
+        free.sort(key=lambda m: m[0])
+        found.sort(key=lambda m: m[0])
+        out, reach, k = [], -1, 0
+        for m in found:
+            while k < len(free) and free[k][0] <= m[0]:
+                reach = max(reach, free[k][1])
+                k += 1
+            if m[1] > reach:
+                out.append(m)
+        return out
 
     def total(self, folded: str) -> float:
         """Each start counts once, with its highest weight."""
@@ -165,6 +175,19 @@ def _counted(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
                                               "clean": zero if toxic else n})
 
 
+_WORD = re.compile(r"[^ ]+")
+
+
+def around(folded: str, a: int) -> tuple[str, str, str]:
+    """The word before the blank at ``a``, the word after it, and the next one."""
+    word_end = folded.find(" ", a + 1)
+    last = a
+    while last > 0 and folded[last - 1] == " ":
+        last -= 1
+    after = _WORD.search(folded, word_end)
+    return folded[folded.rfind(" ", 0, last) + 1:last], folded[a + 1:word_end], after.group() if after else ""
+
+
 def _count_phrases(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float]) -> Iterator[pa.RecordBatch]:
     """Two-word phrases around matches, with their documents by label."""
     m = Matcher(lexicon, ())
@@ -173,12 +196,8 @@ def _count_phrases(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float])
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
             t = fold(text or "")
             seen = set()
-            for a, _, _ in m.matches(t):
-                word_end = t.find(" ", a + 1)
-                before = t[:a].rstrip().rpartition(" ")[2]
-                after = t[word_end:word_end + 80].split(" ")
-                after = next((x for x in after if x), "")
-                word = t[a + 1:word_end]
+            for a in {a for a, _, _ in m.matches(t)}:
+                before, word, after = around(t, a)
                 if before:
                     seen.add(f" {before} {word} ")
                 if after:

@@ -1,9 +1,10 @@
+import time
 import zlib
 
 import pytest
 from helpers import ODD, empty, frame, pseudo, rng
 
-from seedwright.llm.toxic_lexicon import REJECT_AT, Matcher, fit, fold, score, without_toxic
+from seedwright.llm.toxic_lexicon import REJECT_AT, Matcher, around, fit, fold, score, without_toxic
 
 LABELS = "doc_id long, toxic int"
 
@@ -21,6 +22,34 @@ def test_exception_phrases_and_longest_match():
     assert Matcher({}, ()).total(" x ") == 0
 
 
+def test_matcher_equals_brute_force():
+    r = rng(9)
+    for _ in range(300):
+        def piece():
+            return " " + "".join(r.choice("ab ") for _ in range(r.randrange(1, 5)))
+        lexicon = {piece(): float(r.randrange(1, 5)) for _ in range(r.randrange(1, 6))}
+        free = tuple({piece() for _ in range(r.randrange(4))} - set(lexicon))
+        text = fold("".join(r.choice("ab  ") for _ in range(r.randrange(60))))
+        spans = [(i, i + len(p)) for p in free for i in range(len(text)) if text.startswith(p, i)]
+        best = {}
+        for p, w in lexicon.items():
+            for i in range(len(text)):
+                if text.startswith(p, i) and not any(a <= i and i + len(p) <= b for a, b in spans):
+                    best[i] = max(best.get(i, 0.0), w)
+        assert Matcher(lexicon, free).total(text) == sum(best.values()), (lexicon, free, text)
+
+
+def test_many_exceptions_and_long_words():
+    m = Matcher({" clown": 2.0}, (" clown fish ",))
+    t = time.monotonic()
+    assert m.total(fold("a clown fish " * 20_000 + "clown")) == 2.0
+    assert time.monotonic() - t < 2
+    long = "x" * 200
+    assert around(fold(f"grim wolf {long} end"), 5) == ("grim", "wolf", long)
+    assert around(fold(f"{long}   wolf"), 203) == (long, "wolf", "")
+    assert around(" wolf ", 0) == ("", "wolf", "")
+
+
 @pytest.fixture(scope="module")
 def corpus():
     r = rng(1)
