@@ -128,45 +128,75 @@ def fixed_slices(rows: DataFrame, size: int = 1000, partitions: int | None = Non
 #                            elif cur: cur += " " + text    else: cur = text
 # The state is the length L of cur (0 = empty).  After an emit the state is
 # the new text's length whatever came before, so a shard's behaviour for any
-# carry-in is described by a short table (see _segment_tables).
-
-def _segment_tables(x: np.ndarray, mn: int):
-    """For lengths ``x`` of one group segment: prefix P (P[i] = sum_{j<i} 1+x_j)
-    and, for every row t, R[t] = (emits after a flush at t, final state)."""
-    m = len(x)
-    P = np.zeros(m + 1, dtype=np.int64)
-    np.cumsum(1 + x, out=P[1:])
-    flushes = np.zeros(m + 1, dtype=np.int64)   # index m = nothing left
-    final = np.zeros(m + 1, dtype=np.int64)
-    u_fl = np.zeros(m, dtype=np.int64)
-    u_fi = np.zeros(m, dtype=np.int64)
-    # first non-empty row at or after s
-    nz = np.full(m + 1, m, dtype=np.int64)
-    for s in range(m - 1, -1, -1):
-        nz[s] = s if x[s] > 0 else nz[s + 1]
-    # U(r): state x_r (>0) right after row r
-    targets = P[:m] + 1 + mn
-    nxt = np.searchsorted(P[:m], targets, side="left")  # first t with P[t] >= target
-    r_fl = np.zeros(m + 1, dtype=np.int64)
-    r_fi = np.zeros(m + 1, dtype=np.int64)
-    for r in range(m - 1, -1, -1):
-        if x[r] > 0:
-            t = max(int(nxt[r]), r + 1)
-            if t < m:
-                u_fl[r] = 1 + r_fl[t]
-                u_fi[r] = r_fi[t]
-            else:
-                u_fl[r] = 0
-                u_fi[r] = P[m] - P[r] - 1
-            r_fl[r], r_fi[r] = u_fl[r], u_fi[r]
+# carry-in is described by a short table (see _Segment.flushes).
+
+class _Segment:
+    """One group segment of a partition: lengths ``x`` in order.
+
+    ``P[i]`` is the sum of 1 + x_j before row i.  A row r with a text, where cur
+    is started, holds until ``stop[r]``, the first row that finds ``mn`` in hand;
+    cur is emitted there and started again at ``start[stop[r]]``, the first row
+    from there on with a text (empties vanish)."""
+
+    def __init__(self, x: np.ndarray, mn: int):
+        m = len(x)
+        self.m, self.mn = m, mn
+        self.P = np.zeros(m + 1, dtype=np.int64)
+        np.cumsum(1 + x, out=self.P[1:])
+        full = np.append(np.flatnonzero(x > 0), m)
+        self.start = full[np.searchsorted(full, np.arange(m + 1))]
+        self.stop = np.searchsorted(self.P[:m], self.P[:m] + 1 + mn, side="left")
+
+    def flushes(self) -> tuple[np.ndarray, np.ndarray]:
+        """For every row t: (emits after a flush at t, final state); row m: none."""
+        m = self.m
+        emits = (self.stop < m).astype(np.int64)
+        nxt = self.start[self.stop]
+        last = nxt == m  # no start follows
+        hop = np.where(last, np.arange(m), nxt)
+        count = np.where(last, 0, emits)
+        while True:  # twice as far each time
+            far = hop[hop]
+            if np.array_equal(far, hop):
+                break
+            count = count + count[hop]
+            hop = far
+        final = np.where(self.stop < m, 0, self.P[m] - self.P[:m] - 1)
+        n = np.append((count + emits[hop]) if m else [], 0).astype(np.int64)
+        state = np.append(final[hop] if m else [], 0).astype(np.int64)
+        return n[self.start], state[self.start]
+
+    def assign(self, c: int, n: int) -> tuple[np.ndarray, int, int]:
+        """Chunk number per row (-1 for an empty that vanishes), state and chunk
+        number after the last row, entered with state ``c`` in chunk ``n``."""
+        m = self.m
+        bounds, numbers = [], []  # rows before bounds[i] (from the one before) have numbers[i]
+        if c > 0:
+            t = int(np.searchsorted(self.P[:m], self.mn - c, side="left"))
+            bounds.append(t)
+            numbers.append(n)
+            if t >= m:
+                return np.full(m, n, dtype=np.int64), int(c + self.P[m]), n
+            n += 1
         else:
-            s = nz[r + 1]  # fresh start after an empty text
-            if s < m:
-                r_fl[r], r_fi[r] = u_fl[s], u_fi[s]
-            else:
-                r_fl[r], r_fi[r] = 0, 0
-    fresh = (int(u_fl[nz[0]]), int(u_fi[nz[0]])) if nz[0] < m else (0, 0)
-    return P, r_fl, r_fi, fresh
+            t = 0
+        stop, start = self.stop.tolist(), self.start.tolist()
+        r, state = start[t], 0
+        while True:
+            bounds.append(r)
+            numbers.append(-1)
+            if r >= m:
+                break
+            t = stop[r]
+            bounds.append(t)
+            numbers.append(n)
+            if t >= m:
+                state = int(self.P[m] - self.P[r] - 1)
+                break
+            n += 1
+            r = start[t]
+        sizes = np.diff(np.array([0, *bounds]))
+        return np.repeat(np.array(numbers, dtype=np.int64), sizes), state, n
 
 
 def _apply_carry(tab: dict, c: int, mn: int) -> tuple[int, int]:
@@ -180,36 +210,6 @@ def _apply_carry(tab: dict, c: int, mn: int) -> tuple[int, int]:
     return 0, c + tab["Pm"]
 
 
-def _fold_assign(x: np.ndarray, mn: int, c: int, n: int):
-    """Chunk number per row (-1 for a leading empty that vanishes), going from
-    emit to emit."""
-    m = len(x)
-    out = np.empty(m, dtype=np.int64)
-    P = np.zeros(m + 1, dtype=np.int64)
-    np.cumsum(1 + x, out=P[1:])
-    full = np.flatnonzero(x > 0)
-    at, state = 0, c
-    while at < m:
-        if state == 0:  # a fresh start: empties vanish
-            j = int(np.searchsorted(full, at))
-            stop = int(full[j]) if j < len(full) else m
-            out[at:stop] = -1
-            if stop == m:
-                return out, 0, n
-            out[stop], state, at = n, int(x[stop]), stop + 1
-            continue
-        # the first row that finds at least ``mn`` in hand
-        t = max(at, int(np.searchsorted(P[:m], P[at] + mn - state, side="left")))
-        out[at:t] = n
-        if t >= m:
-            return out, int(state + P[m] - P[at]), n
-        n += 1
-        state = int(x[t])
-        out[t] = n if state else -1
-        at = t + 1
-    return out, state, n
-
-
 def pack_min_chars(rows: DataFrame, min_chars: int | None,
                    partitions: int | None = None,
                    group_cols: list[str] | None = None) -> DataFrame:
@@ -244,15 +244,17 @@ def pack_min_chars(rows: DataFrame, min_chars: int | None,
         cuts = np.flatnonzero(g[1:] != g[:-1]) + 1
         starts = np.concatenate([[0], cuts])
         ends = np.concatenate([cuts, [len(g)]])
-        x0 = x[starts[0]:ends[0]]
-        P, rfl, rfi, fresh = _segment_tables(x0, mn)
-        m = len(x0)
+        seg = _Segment(x[starts[0]:ends[0]], mn)
+        P, m = seg.P, seg.m
+        rfl, rfi = seg.flushes()
+        fresh = (int(rfl[0]), int(rfi[0]))
         K = min(m - 1, int(np.searchsorted(P[:m], mn - 1, side="left")))
         single = len(starts) == 1
         if single:
             last = (0, 0)
         else:
-            _, _, _, last = _segment_tables(x[starts[-1]:ends[-1]], mn)
+            n, state = _Segment(x[starts[-1]:ends[-1]], mn).flushes()
+            last = (int(n[0]), int(state[0]))
         return pd.DataFrame([{
             "pid": pid, "first_g": g[0], "last_g": g[-1], "single": single,
             "P": P[:K + 1].tolist(), "fl": rfl[:K + 1].tolist(), "fi": rfi[:K + 1].tolist(),
@@ -299,7 +301,7 @@ def pack_min_chars(rows: DataFrame, min_chars: int | None,
                     state, n = bc.value.get(int(cur_pid), (0, 0))
                 elif g[a] != prev:      # a new group inside the partition
                     state, n = 0, 0
-                res[a:b], state, n = _fold_assign(x[a:b], mn, state, n)
+                res[a:b], state, n = _Segment(x[a:b], mn).assign(state, n)
                 prev = g[a]
             pdf = pdf.drop(columns=["len", "_pid"])
             pdf["chunk_no"] = res

@@ -55,3 +55,35 @@ def test_dense_index_is_row_number(spark):
     got = dense_index(df, ["k"], "pos", partitions=5).orderBy("k").collect()
     assert [r["pos"] for r in got] == list(range(997))
     assert [r["k"] for r in got] == list(range(997))
+
+
+def test_segment_tables_match_fold():
+    import numpy as np
+
+    from seedwright.operators.chunking import _Segment
+
+    def run(x, mn, state, n):
+        out = []
+        for size in x:
+            if state >= mn:
+                n, state = n + 1, size
+            elif state:
+                state += 1 + size
+                out.append(n)
+                continue
+            else:
+                state = size
+            out.append(n if size else -1)
+        return out, state, n
+
+    rnd = random.Random(3)
+    for _ in range(3000):
+        x = [rnd.choice([0, 0, 1, 2, 3, 9]) for _ in range(rnd.randrange(1, 12))]
+        mn, state, n = rnd.randrange(1, 8), rnd.randrange(10), rnd.randrange(3)
+        seg = _Segment(np.array(x, np.int64), mn)
+        got = seg.assign(state, n)
+        assert (got[0].tolist(), *got[1:]) == run(x, mn, state, n)
+        emits, final = seg.flushes()
+        for t in range(len(x)):
+            _, last, k = run(x[t:], mn, 0, 0)
+            assert (emits[t], final[t]) == (k, last)
