@@ -1,6 +1,9 @@
+import pytest
 from helpers import ODD, SF, edited, empty, frame, pseudo, rng
 
-from seedwright.llm.cgk_decontam import SIZES, best_edits, contaminated, decontaminated, op9_cgk_decontam, plain_words, size_class, stride
+from seedwright.llm import cgk_decontam
+from seedwright.llm.cgk_decontam import (PLACES, SIZES, best_edits, contaminated, decontaminated, op9_cgk_decontam,
+                                         plain_words, repeats, size_class, stride)
 
 BENCH = "item_id long, text string"
 
@@ -13,6 +16,21 @@ def test_every_placement_holds_an_aligned_window():
             assert any((at + o) % stride(c) == 0 for o in range(n - c + 1))
 
 
+def test_windows_are_of_the_items_size_and_sampled():
+    for n in range(4, 71):
+        assert size_class(n) >= 0.45 * n
+        assert len(PLACES[size_class(n)]) == repeats(size_class(n)) and all(
+            len(set(p)) == 3 < 2 * size_class(n) for p in PLACES[size_class(n)])
+
+
+@pytest.fixture(params=["whole", "joined"])
+def path(request, monkeypatch):
+    """Both ways of meeting the benchmark."""
+    if request.param == "joined":
+        monkeypatch.setattr(cgk_decontam, "LISTED_KEYS", 0)
+    return request.param
+
+
 def test_edit_distance_of_best_stretch():
     assert best_edits(list("abc"), list("xxabcxx")) == (0, 5)
     assert best_edits(list("abcd"), list("xxabdxx"))[0] == 1
@@ -30,7 +48,7 @@ def test_query_finds_verbatim_items(spark):
         assert best_edits(w, plain_words(docs[d]))[0] <= e <= 0.2 * len(w)
 
 
-def test_edited_copies_and_clean_documents(spark):
+def test_edited_copies_and_clean_documents(spark, path):
     r = rng(8)
     items = [(i, " ".join(pseudo(r, r.randrange(15, 56), 3000))) for i in range(40)]
     texts, want = [], set()
@@ -45,7 +63,7 @@ def test_edited_copies_and_clean_documents(spark):
     assert not {d for d, _ in got if d >= 200}
 
 
-def test_whole_copy_after_a_part_of_it(spark):
+def test_whole_copy_after_a_part_of_it(spark, path):
     r = rng(5)
     texts, items = [], []
     for k, n in enumerate((59, 59, 31, 47, 18)):
@@ -59,7 +77,7 @@ def test_whole_copy_after_a_part_of_it(spark):
 
 def test_recall_at_every_length(spark):
     r = rng(6)
-    lengths = (5, 6, 8, 9, 11, 12, 15, 20, 23, 24, 30, 36, 46, 47, 50, 59, 62, 96)
+    lengths = (5, 6, 8, 9, 11, 12, 15, 17, 20, 23, 24, 30, 35, 36, 46, 47, 50, 59, 62, 71, 96, 200)
     items = [(n, " ".join(pseudo(r, n, 10**6))) for n in lengths]
     for rate, least in ((0.1, 0.99), (0.2, 0.95)):
         texts = [" ".join([*pseudo(r, r.randrange(50), 10**6), *edited(r, t.split(), rate), *pseudo(r, 20, 10**6)])
@@ -70,7 +88,22 @@ def test_recall_at_every_length(spark):
         assert not {n: v for n, v in found.items() if v < least}
 
 
-def test_odd_cases(spark):
+def test_both_ways_give_the_same_rows(spark, monkeypatch):
+    r = rng(2)
+    common = "once upon a time there was".split()
+    items = [(i, " ".join(pseudo(r, r.randrange(4, 60), 200) + (common if i % 2 else []))) for i in range(40)]
+    items.append((99, " ".join(pseudo(r, 2500, 300))))  # one very long item
+    texts = [" ".join(pseudo(r, 60, 200) + common * 3 + edited(r, items[k % 41][1].split(), 0.1 * (k % 3))) for k in range(120)]
+    texts += ["x" * 9000, " ".join(common * 2000), texts[0], texts[0]]
+    df, bench = frame(spark, texts, [None if k % 13 == 0 else k for k in range(len(texts))]), spark.createDataFrame(items, BENCH)
+    rows = {}
+    for keys in (10**6, 0):
+        monkeypatch.setattr(cgk_decontam, "LISTED_KEYS", keys)
+        rows[keys] = sorted(map(str, contaminated(df, bench).collect()))
+    assert rows[0] == rows[10**6] and len(rows[0]) > 100
+
+
+def test_odd_cases(spark, path):
     bench = spark.createDataFrame([(1, "same text here twice"), (1, "same text here twice"), (2, None), (3, ""), (None, "word")], BENCH)
     df = frame(spark, ODD, [None, *range(1, len(ODD))])
     got = sorted((x.doc_id, x.item_id) for x in contaminated(df, bench).filter("item_id is not null").collect())
