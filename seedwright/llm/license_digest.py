@@ -6,7 +6,7 @@ units, the whole text and each paragraph and line of it, are compared with the
 known texts by the SHA-256 of the canonical form: an equi-join on digests.  A
 bitmap of fixed size leaves out units that can match nothing before digests are
 made.  It is all SQL expressions; any table of known texts can be given, of any
-size.
+size, and any table of digests of whole texts.
 
 Defined cases: null and empty texts, and texts of punctuation only, have the
 digest of the empty string and match nothing; rows that repeat or lack a doc_id
@@ -16,11 +16,12 @@ identifiers; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedwright.llm.common import bitmap, maybe_in, saved, table, text_or_empty
-from seedwright.llm.license_texts import EQUIVALENT, KNOWN
+from seedwright.llm.license_texts import EQUIVALENT, KNOWN, KNOWN_DIGESTS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Patterns that Java and RE2 read alike.
@@ -44,16 +45,36 @@ def _joined(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, "\n+", " "))
 
 
-def known_texts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN), "license string, kind string, text string")
+def known_texts(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+    """(license, text): the built-in ones and those of a table ``licenses`` of
+    the input folder, where there is one."""
+    known = spark.createDataFrame(list(KNOWN), "license string, kind string, text string").select("license", "text")
+    if sf_dir is None:
+        return known
+    try:
+        return known.unionByName(table(spark, sf_dir, "licenses").select("license", "text"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return known
 
 
-def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
+def known_digests(spark: SparkSession) -> DataFrame:
+    """(license, sha) of whole texts."""
+    return spark.createDataFrame(list(KNOWN_DIGESTS), "license string, sha string")
+
+
+def scan(docs: DataFrame, known: DataFrame, whole_digests: DataFrame | None = None) -> DataFrame:
     """(doc_id, text_sha256, license, licenses, n_matches) for each row:
-    ``license`` equals the whole text; ``licenses`` are those of all units."""
-    digests = (known.select("license", _joined(canonical(text_or_empty())).alias("unit")).filter("unit <> ''")
-               .select("license", F.xxhash64("unit").alias("key"), F.sha2("unit", 256).alias("sha")).distinct())
-    digests = saved(digests.groupBy("key", "sha").agg(
+    ``license`` equals the whole text; ``licenses`` are those of all units.
+    ``whole_digests`` (license, sha) adds texts known by their digest alone."""
+    texts = (known.select("license", _joined(canonical(text_or_empty())).alias("unit")).filter("unit <> ''")
+             .select("license", F.xxhash64("unit").alias("key"), F.sha2("unit", 256).alias("sha")))
+    texts = saved(texts.distinct(), "known-texts")
+    all_known = texts.select("license", "sha")
+    if whole_digests is not None:
+        all_known = all_known.unionByName(whole_digests.select("license", "sha"))
+    digests = saved(all_known.groupBy("sha").agg(
         F.array_join(F.sort_array(F.collect_set("license")), " or ").alias("known")), "known-licenses")
     d = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), canonical(text_or_empty()).alias("_c"))
          .withColumn("row", F.monotonically_increasing_id()))
@@ -61,9 +82,9 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     parts = F.array_union(F.split("_c", "\n"), F.transform(F.split("_c", "\n\n+"), _joined))
     units = d.select("row", "doc_id", F.posexplode(F.concat(F.array(whole), parts)).alias("at", "unit"))
     units = units.withColumn("key", F.xxhash64("unit"))
-    bits = saved(bitmap(digests, "key"), "license-bits")
+    bits = saved(bitmap(texts, "key"), "license-bits")
     units = (maybe_in(units.filter("at = 0 or unit <> ''"), "key", bits, always="at = 0")
-             .withColumn("sha", F.sha2("unit", 256)).join(digests, ["key", "sha"], "left"))
+             .withColumn("sha", F.sha2("unit", 256)).join(digests, "sha", "left"))
     return (units.groupBy("row", "doc_id").agg(
         F.max(F.when(F.col("at") == 0, F.col("sha"))).alias("text_sha256"),
         F.max(F.when(F.col("at") == 0, F.col("known"))).alias("license"),
@@ -73,7 +94,7 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
 
 def op10_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The known licences in all of ``documents``."""
-    return scan(table(spark, sf_dir, "documents"), known_texts(spark))
+    return scan(table(spark, sf_dir, "documents"), known_texts(spark, sf_dir), known_digests(spark))
 
 
 def _sql_canonical(text: str) -> str:
@@ -92,9 +113,11 @@ def _sql_joined(c: str) -> str:
 
 def op10_sql() -> str:
     rows = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, _, t in KNOWN)
+    shas = ", ".join(f"('{i}', '{sha}')" for i, sha in KNOWN_DIGESTS)
     return rf"""
 with k as (select distinct license, {_sql_joined(_sql_canonical('text'))} as unit from (values {rows}) as v(license, text)),
-known as (select sha256(unit) as sha, string_agg(license, ' or ' order by license) as known from k where unit <> '' group by unit),
+known as (select sha, string_agg(license, ' or ' order by license) as known from (
+        select license, sha256(unit) as sha from k where unit <> '' union select license, sha from (values {shas}) as v(license, sha)) group by sha),
 d as (select doc_id, {_sql_canonical("coalesce(text, '')")} as c from documents),
 w as (select doc_id, sha256({_sql_joined('c')}) as sha from d),
 p as (select doc_id, unnest(list_distinct(list_concat(string_split(c, chr(10)),

@@ -1,9 +1,11 @@
+from pathlib import Path
+
 import duckdb
 import numpy as np
 import pytest
-from helpers import ODD, SF, empty, frame, pseudo, rng, words
+from helpers import ODD, SF, empty, frame, pseudo, rng, sf_copy, words
 
-from seedwright.llm.license_digest import known_texts, op10_license_digest, op10_sql, scan
+from seedwright.llm.license_digest import known_digests, known_texts, op10_license_digest, op10_sql, scan
 from seedwright.llm.license_texts import KNOWN
 from seedwright.llm.ordinal_quality import features, fit, fit_ordinal, score
 from seedwright.llm.quality_rules import RULES, Rule, evaluate, op6_quality_rules, op6_sql
@@ -100,3 +102,28 @@ def test_ordinal_grades_documents(spark):
     assert score(empty(spark), m).collect() == []
     import pyarrow as pa
     assert features(pa.array([], pa.string())).shape[0] == 0
+
+
+COMMON = Path("/usr/share/common-licenses")
+
+
+@pytest.mark.skipif(not COMMON.is_dir(), reason="no licence texts on this machine")
+def test_whole_licences_by_digest(spark):
+    want = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+            "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.3": "GFDL-1.3"}
+    names = [n for n in want if (COMMON / n).is_file()]
+    texts = [(COMMON / n).read_text(encoding="utf-8") for n in names]
+    changed = [t.upper().replace(",", " ,").replace("\n", "\r\n") for t in texts]
+    more = [t + "\none line more" for t in texts]
+    got = {r.doc_id: r for r in scan(frame(spark, texts + changed + more), known_texts(spark), known_digests(spark)).collect()}
+    n = len(names)
+    assert [got[i].license for i in range(n)] == [want[x] for x in names] == [got[n + i].license for i in range(n)]
+    assert all(got[2 * n + i].license is None for i in range(n))
+    assert all(got[i].license in got[i].licenses for i in range(n))
+
+
+def test_known_texts_of_the_input_folder(spark, tmp_path):
+    path = sf_copy(tmp_path, spark, frame(spark, ["You may do as you please.", "Other"]),
+                   licenses=spark.createDataFrame([("Own-1.0", "You may do as you please!", "x")], "license string, text string, note string"))
+    got = {r.doc_id: r.license for r in op10_license_digest(spark, path).collect()}
+    assert got == {0: "Own-1.0", 1: None}
