@@ -1,13 +1,16 @@
+from collections import Counter
 from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import ODD, SF, empty, frame, pseudo, rng, sf_copy, words
 
 from seedwright.llm.license_digest import known_digests, known_texts, op10_license_digest, op10_sql, scan
 from seedwright.llm.license_texts import KNOWN
-from seedwright.llm.ordinal_quality import features, fit, fit_ordinal, score
+from seedwright.llm.ordinal_quality import (HASHED, KINDS, MEASURES, SLOTS, features, fit, fit_ordinal, loss_slopes,
+                                            op5_ordinal_quality, score)
 from seedwright.llm.quality_rules import RULES, Rule, evaluate, op6_quality_rules, op6_sql
 
 
@@ -72,14 +75,65 @@ def test_licences(spark):
     assert {x.licenses for x in scan(df, known_texts(spark).limit(0)).collect()} == {""}
 
 
-def test_ordinal_fit_recovers_a_known_model():
+def test_features_equal_plain_python():
+    texts = [t for t in ODD if t] + ["", "The the THE cat", "cat the", "a%% b2 C-d", "x" * 9000 + " y"]
+    x = features(pa.array(texts))
+    word_slots = {}
+    for i, t in enumerate(texts):
+        slot, value = x.slot[x.off[i]:x.off[i + 1]], x.value[x.off[i]:x.off[i + 1]]
+        w = [v.lower() if v.isascii() else v for v in words(t)]
+        counts = [Counter(w), Counter(zip(w, w[1:], strict=False))]
+        for k, c in enumerate(counts):
+            mine = value[(slot // SLOTS) == k]
+            want = np.log1p(sorted(c.values()))
+            assert np.allclose(sorted(mine), want / np.sqrt((want ** 2).sum()) if len(want) else []), t[:40]
+        for kind in range(3):
+            mine = value[(slot // SLOTS) == kind]
+            assert not len(mine) or np.isclose((mine ** 2).sum(), 1)
+        assert np.isclose(x.measures[i][0], np.log1p(len(w))) and x.measures[i][7] == (len(w) < 20)
+        if len(set(w)) == 1 and w:
+            word_slots.setdefault(w[0], set()).add(int(slot[slot < SLOTS][0]))
+    assert all(len(v) == 1 for v in word_slots.values())
+    a, b = features(pa.array(["cat sat"])), features(pa.array(["sat cat"]))
+    assert set(a.slot[a.slot < SLOTS]) == set(b.slot[b.slot < SLOTS])  # words alike, pairs not
+    assert set(a.slot[a.slot // SLOTS == 1]) != set(b.slot[b.slot // SLOTS == 1])
+
+
+def test_slopes_equal_differences():
+    r = np.random.default_rng(2)
+    eta, y, t = r.normal(size=30), r.integers(0, 4, 30), np.array([-1.0, 0.2, 1.5])
+
+    def loss(eta, t):
+        edges = np.concatenate([[-np.inf], t, [np.inf]])
+        return -np.log(1 / (1 + np.exp(-(edges[y + 1] - eta))) - 1 / (1 + np.exp(-(edges[y] - eta))))
+
+    by_row, by_t = loss_slopes(eta, y, t)
+    e = 1e-6
+    assert np.allclose(by_row, (loss(eta + e, t) - loss(eta - e, t)) / (2 * e), atol=1e-5)
+    for j in range(3):
+        d = np.eye(3)[j] * e
+        assert np.isclose(by_t[j], (loss(eta, t + d) - loss(eta, t - d)).sum() / (2 * e), atol=1e-4)
+
+
+def test_ordinal_fit_recovers_a_known_model(spark):
     r = np.random.default_rng(0)
     x = r.normal(size=(6000, 4))
     y = np.digitize(x @ [1, 2, 0, -1] + r.logistic(size=6000), [-1, 0.5, 2])
-    m = fit_ordinal(x, y, (0, 1, 2, 3), 1500)
-    assert np.allclose(m.weights / m.scale, [1, 2, 0, -1], atol=0.2)
-    assert np.allclose(m.thresholds + (m.weights * m.mean / m.scale).sum(), [-1, 0.5, 2], atol=0.2)
-    assert (np.diff(m.thresholds) > 0).all()
+    rows = spark.createDataFrame([(int(g), [0, 1, SLOTS, 2 * SLOTS + 5], v.tolist(), [0.0] * len(MEASURES)) for g, v in zip(y, x, strict=True)],
+                                 "y int, slot array<int>, value array<float>, measures array<double>").repartition(3)
+    m = fit_ordinal(rows, (0, 1, 2, 3), steps=150)
+    assert np.allclose(m.weights[[0, 1, SLOTS, 2 * SLOTS + 5]], [1, 2, 0, -1], atol=0.2)
+    assert np.allclose(m.thresholds, [-1, 0.5, 2], atol=0.2) and (np.diff(m.thresholds) > 0).all()
+    only = fit_ordinal(rows, (0, 1, 2, 3), steps=20, use=("words",))
+    assert np.flatnonzero(only.weights).tolist() == [0, 1] and len(only.weights) == HASHED + len(MEASURES) and len(KINDS) == 3
+
+
+def test_query_scores_every_document(spark):
+    got = op5_ordinal_quality(spark, SF).collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    right = [r.kept == (labels[r.doc_id] == 1) for r in got if labels.get(r.doc_id) is not None]
+    assert np.mean(right) > 0.9 and all(0 <= r.expected_grade <= 2 for r in got)
 
 
 def test_ordinal_grades_documents(spark):
@@ -100,8 +154,9 @@ def test_ordinal_grades_documents(spark):
     one = fit(docs, spark.createDataFrame([], "doc_id long, grade int"))
     assert {x.tail_probability for x in score(docs, one).collect()} == {1.0}
     assert score(empty(spark), m).collect() == []
-    import pyarrow as pa
-    assert features(pa.array([], pa.string())).shape[0] == 0
+    assert len(features(pa.array([], pa.string())).off) == 1
+    rows = sorted(map(str, score(frame(spark, ["a b", "a b", None], [None, 3, None]), m).collect()))
+    assert len(rows) == 3
 
 
 COMMON = Path("/usr/share/common-licenses")
