@@ -3,6 +3,7 @@ from collections import defaultdict
 import pytest
 from helpers import ODD, edited, empty, frame, lower_az, pseudo, rng, words
 
+from seedwright.llm import minmax_dedup
 from seedwright.llm.minmax_dedup import SMALL_BUCKET, near_duplicates
 
 
@@ -64,6 +65,32 @@ def test_hot_group_of_near_copies(spark):
     assert max(sizes.values()) > 3 * SMALL_BUCKET and sum(n == 1 for n in sizes.values()) > 20
 
 
+@pytest.mark.parametrize("cell", [1024, 20])
+def test_crowded_bucket_of_many_components(spark, monkeypatch, cell):
+    """Over a thousand members share buckets; few of them are linked."""
+    monkeypatch.setattr(minmax_dedup, "CELL", cell)
+    r = rng(cell)
+    base = [pseudo(r, 6, 10**6) for _ in range(30)]
+    texts = []
+    for k in range(1100 if cell > 1000 else 300):
+        parts = list(base) + [pseudo(r, r.choice([1, 2, 3, 30, 60]), 10**6)]
+        for _ in range(r.choice([0, 0, 1, 3])):
+            del parts[r.randrange(len(parts) - 1)]
+        texts.append(" ".join(" ".join(x) for x in parts))
+    want = check(frame(spark, texts).repartition(4), list(enumerate(texts)), 2)
+    sizes = defaultdict(int)
+    for _, c in want.values():
+        sizes[c] += 1
+    assert sum(n == 1 for n in sizes.values()) > len(texts) / 8
+
+
+def test_very_long_texts(spark):
+    r = rng(12)
+    w = pseudo(r, 30_000, 10**6)
+    texts = [" ".join(w), " ".join(w[:-2000]), " ".join(w[:15_000]), "x" * 30_000, "x" * 30_000 + " y", "x" * 30_000]
+    check(frame(spark, texts), list(enumerate(texts)), 2)
+
+
 def test_null_and_repeated_ids(spark):
     df = frame(spark, ["a b c d e f", "a b c d e f", "z", None, "z"], [None, 5, 5, None, 7])
     rows = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df, 2).collect()), key=str)
