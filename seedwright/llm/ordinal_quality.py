@@ -40,8 +40,10 @@ FIT_TASKS = 8
 #: Hash slots of each kind of feature.
 SLOTS = 1 << 16
 KINDS = ("words", "pairs", "shapes")
-STEPS = 80
-RATE = 0.1
+STEPS = 40
+RATE = 0.2
+#: Sparse rows that a gradient is made of at a time.
+ROWS_AT_ONCE = 256
 RIDGE = 1e-4
 SELECT_AT = 0.5
 
@@ -174,9 +176,10 @@ def _gradient(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBa
     w, t, mean, scale = shared.value
     g = np.zeros(len(w) + len(t))
     for batch in batches:
-        if batch.num_rows:
-            x = _read(batch, mean, scale)
-            by_row, by_t = loss_slopes(_product(x, w), batch.column("y").to_numpy(), t)
+        for k in range(0, batch.num_rows, ROWS_AT_ONCE):
+            b = batch.slice(k, ROWS_AT_ONCE)
+            x = _read(b, mean, scale)
+            by_row, by_t = loss_slopes(_product(x, w), b.column("y").to_numpy(), t)
             g[:HASHED] += np.bincount(x.slot, weights=x.value * np.repeat(by_row, np.diff(x.off)), minlength=HASHED)
             g[HASHED:len(w)] += x.measures.T @ by_row
             g[len(w):] += by_t
