@@ -64,3 +64,30 @@ def test_odd_texts(spark):
     rows = pack(frame(spark, ODD, ids).repartition(3), PATH, capacity=64).collect()
     check(rows, list(zip(ids, ODD, strict=True)), 64)
     assert pack(empty(spark), PATH).collect() == []
+
+
+def test_long_texts_and_ties(spark):
+    long = " ".join(f"word{i % 97} and{i}" for i in range(12_000))
+    texts = [long, long, "x" * 20_000 + " end", "tie", "tie", "tie", ""]
+    ids = [1, 2, 3, 4, 5, 6, 7]
+    rows = pack(frame(spark, texts, ids).repartition(3), PATH, 2048).collect()
+    check(rows, list(zip(ids, texts, strict=True)), 2048)
+
+
+def test_neighbours_on_the_curve_are_more_alike(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    tok = Tokenizer.from_file(PATH)
+    bags = {d: set(tok.encode(t, add_special_tokens=False).ids) for d, t in docs.items()}
+
+    def alike(pairs):
+        return np.mean([len(bags[a] & bags[b]) / max(1, len(bags[a] | bags[b])) for a, b in pairs])
+
+    seqs = defaultdict(list)
+    for r in op7_hilbert_pack(spark, SF).collect():
+        seqs[r.sequence_id].append((r.offset, r.doc_id))
+    near = [(a, b) for s in seqs.values() for (_, a), (_, b) in itertools.pairwise(sorted(s)) if a != b]
+    r = np.random.default_rng(3)
+    names = sorted(docs)
+    chance = [tuple(r.choice(names, 2, replace=False)) for _ in range(4000)]
+    print(alike(near), alike(chance))
+    assert alike(near) > 1.3 * alike(chance)

@@ -56,3 +56,24 @@ def test_empty_tables(spark, tmp_path):
     sf = sf_copy(tmp_path, spark, empty(spark), labels=spark.createDataFrame([], LABELS),
                  benchmark=spark.createDataFrame([], BENCH))
     assert cp.run(spark, sf).collect() == []
+
+
+def test_null_and_repeated_ids_and_long_texts(spark, tmp_path):
+    r = rng(21)
+    clean = [" ".join(pseudo(r, 40, 10**6)) for _ in range(6)]
+    long = " ".join(pseudo(r, 30_000, 10**6)) + " " + "z" * 20_000
+    texts = [*clean, clean[0], clean[0], clean[1], "other text of the same id " + clean[5], long, long, None, None]
+    ids = [0, 1, 2, 3, 4, 5, None, 6, None, 2, 8, 9, None, 10]
+    sf = sf_copy(tmp_path, spark, frame(spark, texts, ids), labels=spark.createDataFrame([(0, 1, 0), (1, 1, 1), (None, 1, 1)], LABELS),
+                 benchmark=spark.createDataFrame([(1, clean[4])], BENCH))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = {}
+    for name, stage in cp.STAGES[1:]:
+        docs = cp.saved(stage(spark, docs, sf), f"n-{name}")
+        kept[name] = sorted((-1 if x.doc_id is None else x.doc_id) for x in docs.collect())
+    # copies with an id go; rows without an id stay; both rows of id 2 stay
+    assert kept["near_duplicates"] == [-1, -1, -1, 0, 1, 2, 2, 3, 4, 5, 8, 10]
+    assert kept["decontamination"] == [-1, -1, -1, 0, 1, 2, 2, 3, 5, 8, 10]
+    assert kept["pii"] == kept["decontamination"]
+    pieces = docs.groupBy("doc_id").sum("length").collect()
+    assert {x.doc_id for x in pieces} == {None, 0, 1, 2, 3, 5, 8, 10}

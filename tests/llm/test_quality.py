@@ -182,3 +182,16 @@ def test_known_texts_of_the_input_folder(spark, tmp_path):
                    licenses=spark.createDataFrame([("Own-1.0", "You may do as you please!", "x")], "license string, text string, note string"))
     got = {r.doc_id: r.license for r in op10_license_digest(spark, path).collect()}
     assert got == {0: "Own-1.0", 1: None}
+
+
+def test_long_texts(spark):
+    r = rng(31)
+    w = pseudo(r, 20_000, 500)
+    texts = [" ".join(w) + " " + " ".join(w[:300]), "x" * 20_000 + " y", "\n".join(w[:5000]) + "\n" + "\n".join(w[:200])]
+    got = {x.doc_id: x for x in evaluate(frame(spark, texts)).collect()}
+    for d, t in enumerate(texts):
+        x = got[d]
+        assert (x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words) == plain_counts(t)
+    mit = KNOWN[1][2]
+    scanned = {x.doc_id: x for x in scan(frame(spark, [texts[0] + "\n\n" + KNOWN[2][2] + "\n\n" + "z" * 9000, mit]), known_texts(spark)).collect()}
+    assert scanned[0].licenses == "MIT" and scanned[0].license is None and scanned[1].license == "MIT"

@@ -78,3 +78,10 @@ def test_odd_texts_ids_and_empty(spark, tmp_path):
     want = sorted((w[0] is not None, w[0] or 0, *w[2:]) for w in expected([(r.doc_id, r.text) for r in df.collect()]))
     assert sorted((g[0] is not None, g[0] or 0, *g[2:]) for g in got) == want
     assert rows(op1_token_files(spark, sf_copy(tmp_path, spark, empty(spark)))) == []
+
+
+def test_long_texts(spark, tmp_path):
+    docs = [(0, " ".join(f"word{i % 97} and{i}" for i in range(40_000))), (1, "x" * 20_000), (2, "é " * 20_000), (3, "")]
+    path = sf_copy(tmp_path, spark, frame(spark, [t for _, t in docs], [d for d, _ in docs]))
+    got = sorted(tuple(r)[:4] for r in op1_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32").collect())
+    assert got == expected(docs)
