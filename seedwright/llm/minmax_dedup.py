@@ -15,8 +15,7 @@ pair, in larger ones by two joins that together lose no link:
 
 * pairs whose overlap could come from frequent shingles alone meet in their
   bucket (their first common one), if the bound on their overlap allows a link.
-  Members with too few frequent shingles for any such link leave first; the rest
-  meet members of like size, in cells of at most ``CELL`` rows a side;
+  Members with too few frequent shingles for any such link leave first;
 * any other link needs a common rare shingle (in at most ``RARE`` members of
   large buckets), so these pairs meet on their rare shingles.
 
@@ -54,8 +53,6 @@ MIN_AGREE = 72
 SMALL_BUCKET = 32
 #: Members of large buckets that hold a rare shingle, at most.
 RARE = 64
-#: Rows of one side of a bucket that meet in one place.
-CELL = 1024
 
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -156,8 +153,9 @@ class _Confirmer:
         if self.sets is not None:
             nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
         need = nodes.distinct()
-        mine = (maybe_in(self.docs.filter("doc_id is not null"), "doc_id", bitmap(need, "node"))
-                .join(need.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"))
+        # an inner join: a semi join would be moved below the filter, to all texts
+        mine = (maybe_in(self.docs.filter("doc_id is not null"), "doc_id", saved(bitmap(need, "node"), "set-bits"))
+                .join(need.withColumnRenamed("node", "doc_id"), "doc_id"))
         made = saved(mine.mapInArrow(partial(_sets, k=self.k), "node long, members array<long>"), "sets")
         self.sets = made if self.sets is None else self.sets.unionByName(made)
 
@@ -196,27 +194,6 @@ def _small_pairs(rows: DataFrame) -> DataFrame:
     return _ordered(rest.join(_other(rest, "comp"), "bucket").filter("node < other and comp <> other_comp"))
 
 
-def _in_cells(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs of rows of a bucket whose sizes ``n`` and ``other_n`` allow a link.
-    A row on the left meets its own step of sizes and the two beside it, and
-    both sides of a crowded step are dealt over a grid of cells."""
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")
-    other = F.floor(F.log(F.col("other_n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")
-    left = left.withColumn("step", step)
-    right = right.withColumn("step", F.explode(F.array(other - 1, other, other + 1)))
-    place = ["bucket", "step"]
-    count = (left.select(*place, F.lit(1).alias("l"), F.lit(0).alias("r"))
-             .unionByName(right.select(*place, F.lit(0).alias("l"), F.lit(1).alias("r")))
-             .groupBy(*place).agg(F.sum("l").alias("l"), F.sum("r").alias("r")).filter("l > 0 and r > 0"))
-    grid = count.select(*place, F.ceil(F.col("l") / CELL).cast("int").alias("a"), F.ceil(F.col("r") / CELL).cast("int").alias("b"))
-
-    def dealt(side: DataFrame, node: str, own: str, across: str, i: str, j: str) -> DataFrame:
-        return (side.join(grid, place).withColumn(i, F.pmod(F.xxhash64(node), F.col(own)).cast("int"))
-                .withColumn(j, F.explode(F.sequence(F.lit(0), F.col(across) - 1))).drop("a", "b"))
-
-    return dealt(left, "node", "a", "b", "i", "j").join(dealt(right, "other", "b", "a", "j", "i"), [*place, "i", "j"])
-
-
 def _large_pairs(rows: DataFrame, classes: DataFrame, confirm: _Confirmer) -> DataFrame | None:
     """Pairs across components of large buckets that can be links."""
     rows = rows.filter(F.col("m") > SMALL_BUCKET)
@@ -241,7 +218,7 @@ def _large_pairs(rows: DataFrame, classes: DataFrame, confirm: _Confirmer) -> Da
     p = confirm.percent
     rows = rows.join(info.filter(F.lit((100 + p) * 100) * F.col("frequent") >= F.lit(p * (100 + p)) * F.col("n")), "node")
     earlier = F.expr("exists(zip_with(slice(bands, 1, band), slice(other_bands, 1, band), (a, b) -> a = b), x -> x)")
-    dense = (_in_cells(rows.filter("apart"), _other(rows, "comp", "n", "apart", "frequent", "bands"), p)
+    dense = (rows.filter("apart").join(_other(rows, "comp", "n", "apart", "frequent", "bands"), "bucket")
              .filter("comp <> other_comp and (not other_apart or node < other)")
              .filter(bound >= need).filter(confirm.may_link("n", "other_n")).filter(~earlier))
     rare = held.filter(F.col("times").between(2, RARE)).join(frequent, "node").withColumnRenamed("shingle", "bucket")
