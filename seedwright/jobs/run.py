@@ -76,6 +76,8 @@ def chunk_key(task, text_key):
 
 
 ORDER = ["source_ord", "split_ord", "part", "chunk_no"]
+#: Files named in the report of a run over paged documents; all are counted.
+PAGE_ERRORS = 1000
 
 
 def build_chunks(spark: SparkSession, specs: list[str], resolver: TableResolver, cfg: JobConfig, texts: TextStore,
@@ -107,15 +109,16 @@ def build_chunks(spark: SparkSession, specs: list[str], resolver: TableResolver,
 
 
 def build_page_chunks(spark: SparkSession, pages: PageInput, texts: TextStore) -> tuple[DataFrame, dict]:
-    """(chunk_id, source, text_key), a chunk per page with text, and a report: a
-    status per file that failed."""
+    """(chunk_id, source, text_key), a chunk per page with text, and a report:
+    how many files failed, and where the first ``PAGE_ERRORS`` of them did."""
     counts = Observation()
     raw = read_pdf_pages(spark, pages.folder, pages.extractor, pages.pattern)
     lean = texts.keep(page_texts(raw, pages.pages), "seeds", counts=counts)
-    failed = lean.filter("error is not null").select("source", "chunk_no", "error").orderBy("source").limit(1000)
+    failed = lean.filter("error is not null").select("source", "chunk_no", "error")
+    named = failed.orderBy("source").limit(PAGE_ERRORS).collect()
     chunks = dense_index(lean.filter("text_key is not null").select(*ORDER, "source", "text_key"), ORDER, lean=True)
-    report = {"sources": [(r.source, "train", f"error: page {r.chunk_no}: {r.error}") for r in failed.collect()],
-              "unreadable_files": [], "read": observed(counts, TEXT_COUNTS)}
+    report = {"sources": [(r.source, "train", f"error: page {r.chunk_no}: {r.error}") for r in named],
+              "failed_files": failed.count(), "unreadable_files": [], "read": observed(counts, TEXT_COUNTS)}
     return chunks.select("chunk_id", "source", "text_key"), report
 
 
@@ -154,6 +157,7 @@ def run_chunks(spark: SparkSession, chunks: DataFrame, texts: TextStore, catalog
     if states is not None:
         chunks = due_chunks(chunks, states, mark, cfg.retry_empty, cfg.max_attempts)
     chunks = written(chunks, "job-chunks")
+    texts.narrow("seeds", chunks)
     counts = Observation()
     pairs, status = process(chunks.drop("chunk_key"), catalog, completer, cfg, texts, counts)
     full = with_texts(pairs, texts) if cfg.include_content else pairs

@@ -25,6 +25,8 @@ from ..session import scratch_path, written
 KEY_ROWS = 20_000
 #: Most keys that are dealt over parts (their table is broadcast).
 HOT_KEYS = 100_000
+#: Most keys that a store is narrowed to (they are broadcast).
+WANTED_KEYS = 1_000_000
 
 
 def text_key(text: Column) -> Column:
@@ -93,6 +95,15 @@ class TextStore:
         k = self.kinds[kind]
         return k.rows.select(k.key, k.text).filter(F.col(k.key).isNotNull()).dropDuplicates([k.key])
 
+    def narrow(self, kind: str, rows: DataFrame) -> None:
+        """From now on only the texts of these rows' keys are wanted.  Where
+        they are few, the others are left out as the table is scanned, so that a
+        limited or resumed run does not move the corpus."""
+        k = self.kinds[kind]
+        keys = written(rows.select(k.key).filter(F.col(k.key).isNotNull()).distinct(), f"{kind}-wanted")
+        if keys.count() <= WANTED_KEYS:
+            k.rows = k.rows.join(F.broadcast(keys), k.key, "left_semi")
+
     def attach(self, rows: DataFrame, kind: str, key: str | None = None, out: str | None = None) -> DataFrame:
         """Rows with the text of their key in column ``out``."""
         k = self.kinds[kind]

@@ -75,6 +75,18 @@ def test_attach_deals_frequent_texts_over_parts(spark, key_rows):
     assert len(a) == 16 and a != b
 
 
+def test_few_wanted_texts_are_picked_in_the_scan(spark, monkeypatch):
+    for most, joins in ((1_000_000, 1), (1, 0)):
+        monkeypatch.setattr("seedwright.operators.texts.WANTED_KEYS", most)
+        texts = TextStore(spark)
+        lean = texts.keep(spark.createDataFrame([(i, f"text {i % 7}") for i in range(40)], "n long, text string"), "seeds")
+        texts.narrow("seeds", lean.filter("n in (1, 2, 8)"))
+        assert texts.texts("seeds")._jdf.queryExecution().executedPlan().toString().count("LeftSemi") >= joins
+        got = texts.attach(lean.filter("n in (1, 2, 8)"), "seeds").select("n", "text").collect()
+        assert sorted(map(tuple, got)) == [(1, "text 1"), (2, "text 2"), (8, "text 1")]
+        assert texts.texts("seeds").count() == (2 if joins else 7)
+
+
 def rows_col(name):
     from pyspark.sql import functions as F
     return F.col(name)
@@ -253,7 +265,7 @@ def test_pages_are_a_job_source(spark, tmp_path):
     comp = BatchCompleter(lambda pdf: pd.Series(["Instruction: Q\nAnswer: A"] * len(pdf)), "m", str(tmp_path / "s"), buckets=2)
     res = run(spark, [], None, cat, comp, str(tmp_path / "out"), str(tmp_path / "p"), cfg=JobConfig(rounds=0),
               pages=PageInput(str(docs), stub()))
-    assert res["chunks"] == {"processed_chunk": 3} and len(res["sources"]) == 2
+    assert res["chunks"] == {"processed_chunk": 3} and len(res["sources"]) == 2 == res["failed_files"]
 
 
 def test_a_large_file_leaves_in_parts():
