@@ -350,7 +350,7 @@ class _StoreCompleter:
         store = self.responses(rows.sparkSession, wave)
         keyed = written(rows.withColumn("_rid", request_id(self.model, *prompt.identity)), f"{wave}-rows")
         # laid out as the store is, so that only this side moves
-        requests = keyed.repartition(self.buckets, "_rid").dropDuplicates(["_rid"])
+        requests = keyed.repartition(store.buckets, "_rid").dropDuplicates(["_rid"])
         for attempt in range(1, self.attempts + 1):
             known = store.read().filter("answered").select(F.col("request_id").alias("_rid"))
             pending = written(requests.join(known.hint("merge"), "_rid", "left_anti"), f"{wave}-pending")

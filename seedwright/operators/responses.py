@@ -5,7 +5,8 @@ brings replies back, find the store laid out by request id, so its bytes do not
 move; the wave's keys do.  The table lives in a folder of the user's and is
 registered under a name made from it whenever it is opened.
 
-A folder holds generations.  Replies are appended to the newest; ``compact``
+The number of buckets is fixed when the folder is made; a store that is opened
+with another one keeps it.  A folder holds generations.  Replies are appended to the newest; ``compact``
 writes the next one with one row per request (its first reply, else its last
 error) and removes the older ones once it is whole.
 """
@@ -26,7 +27,7 @@ class ResponseStore:
     def __init__(self, spark: SparkSession, path: str, buckets: int):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.buckets = buckets
+        self.buckets = self._bucket_count(buckets)
         self.generation = max([0, *(g for g, whole in self._generations() if whole)])
         self._register()
 
@@ -34,13 +35,26 @@ class ResponseStore:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
+    def _names(self) -> list[str]:
+        fs, p = self._fs(self.path)
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+    def _bucket_count(self, wanted: int) -> int:
+        """The folder's number of buckets; files of another would be read wrongly."""
+        names = self._names()
+        found = [int(n[8:]) for n in names if n.startswith("buckets=")]
+        if found:
+            return found[0]
+        if any(n.startswith("gen=") for n in names):
+            raise ValueError(f"{self.path} holds replies but not their number of buckets")
+        fs, p = self._fs(f"{self.path}/buckets={wanted}")
+        fs.create(p, True).close()
+        return wanted
+
     def _generations(self) -> list[tuple[int, bool]]:
         """(number, written whole) of the generations in the folder; the first
         one needs no mark, as replies are appended to it."""
-        fs, p = self._fs(self.path)
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        names = self._names()
         found = [int(n[4:]) for n in names if n.startswith("gen=")]
         return [(g, g == 0 or f"whole={g}" in names) for g in sorted(found)]
 

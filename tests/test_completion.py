@@ -58,6 +58,7 @@ def test_empty_wave_and_wrong_length(spark, tmp_path):
 
 def test_damaged_store_is_not_taken_for_an_empty_one(spark, tmp_path):
     os.makedirs(tmp_path / "s" / "w" / "gen=0")
+    (tmp_path / "s" / "w" / "buckets=16").write_bytes(b"")
     (tmp_path / "s" / "w" / "gen=0" / "part-0_00000.c000.parquet").write_bytes(b"no parquet")
     with pytest.raises(Exception, match="(?i)parquet|magic|footer"):
         ask(spark, BatchCompleter(lambda pdf: pdf["user_prompt"], "m", str(tmp_path / "s")), ["a"])

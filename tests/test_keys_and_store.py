@@ -161,6 +161,11 @@ def test_compaction_keeps_replies_and_errors(spark, tmp_path):
     store.append(replies(spark, [("d", "D", None, 1)]))
     assert ResponseStore(spark, str(tmp_path / "w"), 3).latest().count() == 4
     assert not (tmp_path / "w" / "gen=0").exists()
+    other = ResponseStore(spark, str(tmp_path / "w"), 64)  # the folder's number holds
+    assert other.buckets == 3 and sorted(r.request_id for r in other.latest().collect()) == ["a", "b", "c", "d"]
+    (tmp_path / "v" / "gen=0").mkdir(parents=True)
+    with pytest.raises(ValueError, match="number of buckets"):
+        ResponseStore(spark, str(tmp_path / "v"), 3)
 
 
 # --------------------------------------------------------------- calls in flight
