@@ -62,7 +62,7 @@ def test_null_and_repeated_ids_and_long_texts(spark, tmp_path):
     r = rng(21)
     clean = [" ".join(pseudo(r, 40, 10**6)) for _ in range(6)]
     long = " ".join(pseudo(r, 30_000, 10**6)) + " " + "z" * 20_000
-    texts = [*clean, clean[0], clean[0], clean[1], "other text of the same id " + clean[5], long, long, None, None]
+    texts = [*clean, clean[0], clean[0], clean[1], " ".join(pseudo(r, 40, 10**6)), long, long, None, None]
     ids = [0, 1, 2, 3, 4, 5, None, 6, None, 2, 8, 9, None, 10]
     sf = sf_copy(tmp_path, spark, frame(spark, texts, ids), labels=spark.createDataFrame([(0, 1, 0), (1, 1, 1), (None, 1, 1)], LABELS),
                  benchmark=spark.createDataFrame([(1, clean[4])], BENCH))
