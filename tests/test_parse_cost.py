@@ -104,3 +104,11 @@ def test_draws_keep_their_keys(spark):
     for c in range(40):
         want = sorted(names, key=lambda n: hashlib.md5(f"42|reading_comprehension|{c}|content|{n}".encode()).hexdigest())[:3]
         assert got[c] == want
+
+
+def test_draws_for_all_tasks_are_dealt_out(spark, sf_dir):
+    """By size, the keys of all chunks were one partition, drawn for in one task."""
+    from seedwright.plans.queries import QUERIES
+    d = QUERIES["sample_content_agents"](spark, sf_dir)
+    parts = d.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1
