@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import py_strip, sql_str, sql_strip
+from .text import WS_CHARS, let, py_strip, sql_str, sql_strip, strip_long
 
 # A choice label "X)" preceded by a non-word character or the
 # start (Python's Unicode \b, spelled out so Java and RE2 agree).
@@ -36,7 +36,7 @@ def sql_has_choices(e: str) -> str:
 
 def answer_letter(answer: Column) -> Column:
     """Leading ``X)`` of the stripped answer, else null (a bare ``B`` too)."""
-    return F.nullif(F.regexp_extract(py_strip(F.coalesce(answer, F.lit(""))), LETTER_RE, 1),
+    return F.nullif(F.regexp_extract(F.ltrim(F.coalesce(answer, F.lit("")), F.lit(WS_CHARS)), LETTER_RE, 1),
                     F.lit(""))
 
 
@@ -45,7 +45,7 @@ def sql_answer_letter(e: str) -> str:
 
 
 def question_part(instruction: Column) -> Column:
-    return py_strip(F.split(instruction, CHOICES_MARK, 2).getItem(0))
+    return let(F.split(instruction, CHOICES_MARK, 2).getItem(0), strip_long)
 
 
 def choices_part(instruction: Column) -> Column:

@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from seedwright.functions.parse import modified_pair, pair_blocks
-from seedwright.functions.text import py_strip, strip_fences, strip_markdown
+from seedwright.functions.text import WS_CHARS, keep_instruction_reply, py_strip, strip_fences, strip_long, strip_markdown
 from seedwright.operators.agents import drawn_agents
 from seedwright.operators.generation import pairs_from_replies
 from seedwright.sources.catalog import load_catalog
@@ -112,3 +112,39 @@ def test_draws_for_all_tasks_are_dealt_out(spark, sf_dir):
     d = QUERIES["sample_content_agents"](spark, sf_dir)
     parts = d.groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) > 1
+
+
+def test_strips_of_long_texts_look_at_the_ends(spark):
+    """Every strip listed all characters of its text, several times a reply."""
+    edges = ["", "a", "é", "界", "\U0001f600", *WS_CHARS, "\u0085 ", "x　", "​", "\u0085" * 2, "\t  "]
+    texts = [a + m + b for m in ("", "x\n" * 150 + "x") for a in edges for b in edges]
+    assert _col(spark, texts, strip_long) == [t.strip() for t in texts]
+    words = ["IRRELEVANT", "irreleVant", "IRRELEVANT.", "ırrelevant", "relevant", ""]
+    replies = [a + w + b for w in words for a in ("", " \n", " " * 300) for b in ("", " ", "\t" * 300)]
+    assert _col(spark, replies, keep_instruction_reply) == [
+        bool(r.strip()) and not re.fullmatch("(?ai)irrelevant", r.strip()) for r in replies]
+
+    long = spark.range(1500).select(F.concat(F.repeat(F.lit("some words "), 10_000), F.col("id").cast("string")).alias("t"))
+    long = long.repartition(4).persist()
+    long.count()
+
+    def seconds(expr):
+        took = []
+        for _ in range(3):
+            t0 = time.time()
+            long.select(F.count_if(expr)).collect()
+            took.append(time.time() - t0)
+        return min(took)
+
+    assert seconds(keep_instruction_reply(F.col("t"))) < 0.5 * seconds(py_strip(F.col("t")) != "")
+    long.unpersist()
+
+
+def test_requests_for_all_tasks_are_dealt_out(spark, sf_dir):
+    """The draws of the content wave were made where the keys of all chunks lay: in one partition."""
+    from seedwright.operators.generation import content_requests
+    from seedwright.plans.queries import catalog, doc_chunks, for_tasks
+    cat = catalog(spark)
+    chunks, texts = doc_chunks(spark, sf_dir)
+    rows, _ = content_requests(for_tasks(chunks, cat), cat, texts, 42)
+    assert len(rows.groupBy(F.spark_partition_id()).count().collect()) > 1
