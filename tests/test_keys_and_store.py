@@ -1,6 +1,7 @@
 """Texts by content: what is written, hot keys; replies by bucket; calls in
 flight."""
 import os
+import re
 import threading
 import time
 from pathlib import Path
@@ -8,6 +9,7 @@ from pathlib import Path
 import pandas as pd
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from seedwright.jobs.run import JobConfig, PageInput, build_page_chunks, run
 from seedwright.operators.agents import agent_prompts, drawn_agents
@@ -59,6 +61,22 @@ def test_only_the_store_holds_texts(spark, tmp_path, monkeypatch):
     assert sum(f.stat().st_size for f in new - store) < 17 * size / 3
 
 
+def test_texts_beside_hot_keys_move_once(spark):
+    """They were made equal by key, and then moved again by key and part."""
+    texts = TextStore(spark, key_rows=3)
+    rows = spark.range(200).select("id", F.when(F.col("id") < 20, "hot").otherwise(F.col("id").cast("string")).alias("text"))
+    lean = texts.keep(rows, "seeds")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = texts.attach(lean, "seeds")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"Exchange hashpartitioning\([^)]*_part[^)]*\)[^\n]*\n[^\n]*SortAggregate", plan)
+        assert sorted((r.id, r.text) for r in got.collect()) == sorted((i, "hot" if i < 20 else str(i)) for i in range(200))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("key_rows", [20_000, 3])
 def test_attach_deals_frequent_texts_over_parts(spark, key_rows):
     texts = TextStore(spark, key_rows=key_rows)
