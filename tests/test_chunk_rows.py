@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from seedwright import session
 from seedwright.operators import texts as texts_module
 from seedwright.operators.completion import OfflineCompleter
-from seedwright.operators.generation import content_wave, generate_pairs, instruction_replies, pairs_from_replies, with_texts
+from seedwright.operators.generation import TEXTS, content_wave, generate_pairs, instruction_replies, pairs_from_replies, with_texts
+from seedwright.operators.refinement import refine
 from seedwright.operators.texts import TextStore
 from seedwright.plans import queries as Q
 
@@ -62,8 +63,19 @@ def test_pairs_are_those_of_written_waves(spark, key_rows):
     assert _rows(with_texts(got, store).select(both.columns)) == _rows(both)
 
 
+@pytest.mark.parametrize("rounds,least,fallback", [(0, 1, "full"), (1, 1, "parity"), (1, 3, "off"), (2, 1, "full"), (3, 6, "parity")])
+def test_rounds_in_a_row_are_those_over_rows(spark, rounds, least, fallback):
+    chunks, store = _chunks(spark)
+    apart = refine(generate_pairs(chunks, Q.catalog(spark), COMP, store, 7), COMP, rounds, least, mcq_fallback=fallback)
+    nested = refine(generate_pairs(chunks, Q.catalog(spark), COMP, store, 7, nested=True), COMP, rounds, least,
+                    mcq_fallback=fallback)
+    assert set(TEXTS) <= set(nested.columns)
+    assert _rows(nested.select(apart.columns)) == _rows(apart) and apart.count() > 0
+
+
 #: Queries that write keys only.
-NOTHING = {"generate_pairs", "all_tasks"}
+NOTHING = {"generate_pairs", "all_tasks", "refine_round", "refine_fallback", "refine_two_rounds", "output_with_content",
+           "chat_records", "mcq_filter", "inspect_complete"}
 
 
 @pytest.mark.parametrize("name", sorted(NOTHING))
