@@ -84,3 +84,10 @@ def test_only_keys_are_written(spark, sf_dir, written_to, name):
     assert not [p for p in written_to if any(os.path.basename(p).startswith(x) for x in ("instruction", "pairs", "round", "stopped"))]
     assert df.write.format("noop").mode("overwrite").save() is None
     assert _written(written_to) < 0.3 * os.path.getsize(f"{sf_dir}/documents.parquet")
+
+
+def test_a_sample_is_made_once(spark, sf_dir, written_to):
+    df = Q.QUERIES["inspect_sample"](spark, sf_dir)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and len(df.collect()) == 5
+    assert _written(written_to) < 6 * os.path.getsize(f"{sf_dir}/documents.parquet")
